@@ -213,9 +213,9 @@ def age_months_days(fx):
 
 
 def bmi_sql(weight: str, height: str) -> str:
-    """Rounded as a decimal number: rounding of doubles differs between engines at ties."""
+    """Ties go to the even digit."""
     metres = f"(nullif({height}, 0) / 100)"
-    return f"CAST(round(CAST({weight} / ({metres} * {metres}) AS DECIMAL(38, 12)), 1) AS DOUBLE)"
+    return f"round_even({weight} / ({metres} * {metres}) * 10, 0) / 10"
 
 
 @check("num_bmi", f"""

@@ -9,9 +9,12 @@ from eavista.functions.text import number_text
 
 
 def bmi(weight_kg: Column, height_cm: Column) -> Column:
-    """Body mass index with one decimal; null without both measures or with zero height."""
+    """Body mass index with one decimal; null without both measures or with zero height.
+
+    A tie goes to the even digit, as the C library rounds doubles for the database.
+    """
     metres = F.nullif(height_cm, F.lit(0.0)) / 100
-    return F.round(weight_kg / (metres * metres), 1)
+    return F.rint(weight_kg / (metres * metres) * 10) / 10
 
 
 def blood_pressure_text(systolic: Column, diastolic: Column) -> Column:
