@@ -2,7 +2,7 @@
 
 from eavista.catalog import registry
 from eavista.catalog import (  # noqa: F401  (importing a module registers its checks)
-    aggregates, changes, derived, dimensions, eav, joins, predicates, scalars, scans,
+    aggregates, changes, derived, dimensions, eav, joins, predicates, reports, scalars, scans,
 )
 
 

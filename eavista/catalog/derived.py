@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from eavista import values
 from eavista.catalog.fixture import cid
@@ -10,16 +10,11 @@ from eavista.catalog.registry import check
 from eavista.catalog.scalars import bmi_sql, born_and_seen, full_years_sql
 from eavista.functions import ages, clinical
 from eavista.operators.filters import active
+from eavista.operators.latest import carry_forward
 from eavista.operators.obs import Measure, pivot_obs
 from eavista.session import literal_table
 
 
-def with_last_stored(df, value: str, key: str, *order: str, name: str):
-    """The entered value, or the last one stored earlier for the same key."""
-    earlier = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.last(value, ignorenulls=True).over(earlier))
-
-
 _BASELINE = """SELECT obs_id, person_id, obs_datetime, CASE WHEN obs_id % 5 = 0 THEN value END AS entered,
   value AS current FROM {fx_screening}"""
 
@@ -31,7 +26,7 @@ c AS (SELECT obs_id, nullif(CAST(trunc(baseline) AS BIGINT), 0) AS base, CAST(tr
 SELECT obs_id, CAST(floor((base - now) / base * 100 + 0.5) AS BIGINT) AS reduction FROM c
 """)
 def calc_percent_reduction(fx):
-    rows = with_last_stored(fx.sql(_BASELINE), "entered", "person_id", "obs_datetime", "obs_id", name="baseline")
+    rows = carry_forward(fx.sql(_BASELINE), "person_id", "obs_datetime", "obs_id", "entered", "baseline")
     return rows.select("obs_id", clinical.percent_reduction(F.col("baseline"), F.col("current")).alias("reduction"))
 
 
@@ -85,7 +80,7 @@ def calc_last_menstrual_fallback(fx):
                         fx.clinic.dictionary)
     rows = active(fx.encounter).select("encounter_id", "patient_id", "encounter_datetime")
     rows = rows.join(entered, "encounter_id", "left")
-    rows = with_last_stored(rows, "entered", "patient_id", "encounter_datetime", "encounter_id", name="lmp")
+    rows = carry_forward(rows, "patient_id", "encounter_datetime", "encounter_id", "entered", "lmp", "year")
     return rows.select("encounter_id", "lmp")
 
 

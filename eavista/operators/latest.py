@@ -53,3 +53,34 @@ def number_rows(df: DataFrame, name: str, *order: str, after: Column | int = 0)
         .withColumn(name, (inside + F.col("_before") + start).cast("bigint"))
         .drop("_part", "_before")
     )
+
+
+def carry_forward(
+    df: DataFrame, key: str, time: str, tie: str, value: str, name: str, bucket: str = "day"
+) -> DataFrame:
+    """``name`` is ``value``, or the last non-null one of the key before it in (time, tie) order.
+
+    The order of a key is cut into calendar buckets: a window inside each bucket, and one
+    carried value per bucket from the buckets before it. So a key with very many rows is
+    worked on by many tasks, and the window over buckets sees one row per key and bucket.
+    """
+    filled = F.col(value).isNotNull()
+    rows = df.withColumn("_bucket", F.date_trunc(bucket, time))
+    buckets = rows.groupBy(key, "_bucket").agg(
+        F.max_by(value, F.when(filled, F.struct(time, tie))).alias("_last")
+    )
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = buckets.select(
+        key, "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_carried")
+    )
+    inside = (
+        Window.partitionBy(key, "_bucket")
+        .orderBy(time, tie)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        rows.withColumn("_inside", F.last(value, ignorenulls=True).over(inside))
+        .join(carried, [key, "_bucket"], "left")
+        .withColumn(name, F.coalesce("_inside", "_carried"))
+        .drop("_bucket", "_inside", "_carried")
+    )

@@ -102,8 +102,9 @@ class Clinic:
         )
 
     def addresses(self) -> DataFrame:
-        return lookups.latest_addresses(self["person_address"]).withColumnRenamed(
-            "person_id", "patient_id"
+        """(patient_id, the address levels) of the current address."""
+        return lookups.latest_addresses(self["person_address"]).select(
+            F.col("person_id").alias("patient_id"), *values.ADDRESS_LEVELS
         )
 
     def phones(self, name: str = "telephone") -> DataFrame:
