@@ -14,10 +14,11 @@ import re
 from collections.abc import Mapping
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from eavista import values
-from eavista.session import literal_table
+from eavista.session import fresh_path, literal_table
 from eavista.sources.clinic import Clinic
 
 TABLES = (
@@ -399,6 +400,10 @@ def _inputs(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", text)))
 
 
+# derived tables that are loaded once per application and then read as stored tables
+STORED = ("fx_clinic_obs", "fx_concept_name", "fx_concept_mapping", "fx_visit")
+
+
 class Fixture:
     """The views as DataFrames: ``fx.obs`` is the view ``fx_obs``, ``fx.table('orders')`` a table."""
 
@@ -406,6 +411,15 @@ class Fixture:
         self.spark = spark
         self.sf_dir = sf_dir
         self._made: dict[str, DataFrame] = {}
+        self._paths: dict[str, str] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Fixture:
+        """The one fixture of an application and a folder of test tables."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _FIXTURES:
+            _FIXTURES[key] = cls(spark, sf_dir)
+        return _FIXTURES[key]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._made:
@@ -425,7 +439,21 @@ class Fixture:
                 parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
                 made = made.repartition(parts, "l_orderkey", "l_linenumber")
             self._made[name] = made
-        return self._made[name]
+        return self._stored(name) if name in STORED else self._made[name]
+
+    def _stored(self, name: str) -> DataFrame:
+        """The view as a written table below the shared folder, written again if it is gone."""
+        made = self._made[name]
+        read = self.spark.read.schema(made.schema)
+        if name in self._paths:
+            try:
+                return read.parquet(self._paths[name])
+            except AnalysisException:
+                pass
+        path = fresh_path(self.spark, name)
+        made.write.parquet(path)
+        self._paths[name] = path
+        return read.parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if f"fx_{name}" not in VIEWS:
@@ -447,6 +475,9 @@ class Fixture:
         return Clinic(ClinicTables(self))
 
 
+_FIXTURES: dict[tuple[str, str], Fixture] = {}
+
+
 class ClinicTables(Mapping):
     """The clinic's tables by name; a view is made when it is first asked for."""
 

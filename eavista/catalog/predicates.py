@@ -116,7 +116,7 @@ SELECT person_id, CASE gender WHEN 'M' THEN 'MASCULINO' WHEN 'F' THEN 'FEMININO'
   CASE WHEN birthdate < DATE '1960-01-01' THEN '1' ELSE '' END AS born_before_1960 FROM fx_person
 """)
 def recode_if_flag(fx):
-    genders = F.create_map(*[F.lit(x) for kv in values.GENDER_DISPLAY.items() for x in kv])
+    genders = text.fixed_map(values.GENDER_DISPLAY)
     old = F.col("birthdate") < F.lit("1960-01-01").cast("date")
     return fx.person.select(
         "person_id", F.try_element_at(genders, F.col("gender")).alias("gender_display"),

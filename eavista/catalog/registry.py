@@ -32,7 +32,7 @@ def check(key: str, sql: str | None = None):
 
     def register(build: Callable[[Fixture], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _comparable(build(Fixture(spark, sf_dir)))
+            return _comparable(build(Fixture.of(spark, sf_dir)))
 
         if key in QUERIES:
             raise ValueError(f"{key} is registered twice")

@@ -65,8 +65,8 @@ SELECT e.encounter_id, CASE WHEN quantity IS NULL THEN '' ELSE 'Cantidad: ' || {
 FROM fx_encounter e LEFT JOIN {_PIVOT} ON s.encounter_id = e.encounter_id
 """)
 def str_labelled_sentence(fx):
-    parts = [("Cantidad: ", text.number_text("quantity")), ("Precio: ", text.number_text("price")),
-             ("Nota: ", F.col("note"))]
+    parts = [("Cantidad: ", text.number_sql("quantity")), ("Precio: ", text.number_sql("price")),
+             ("Nota: ", "note")]
     return _simple_pivot(fx).select("encounter_id", text.labelled_sentence(parts).alias("sentence"))
 
 
@@ -241,7 +241,7 @@ FROM (SELECT encounter_id, {_BP_SQL} FROM fx_clinic_obs WHERE voided = 0
 def num_ratio_text(fx):
     rows = pivot_obs(active(fx.clinic["obs"]), "encounter_id",
                      [Measure(k, code) for k, code in _BP.items()], fx.clinic.dictionary)
-    return rows.select("encounter_id", clinical.blood_pressure_text(F.col("s"), F.col("d")).alias("bp"))
+    return rows.select("encounter_id", clinical.blood_pressure_text("s", "d").alias("bp"))
 
 
 @check("num_to_text", f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from eavista import values
-from eavista.functions.text import number_text
+from eavista.functions.text import fixed_map, number_text
 
 
 def bmi(weight_kg: Column, height_cm: Column) -> Column:
@@ -17,9 +17,9 @@ def bmi(weight_kg: Column, height_cm: Column) -> Column:
     return F.rint(weight_kg / (metres * metres) * 10) / 10
 
 
-def blood_pressure_text(systolic: Column, diastolic: Column) -> Column:
+def blood_pressure_text(systolic: str, diastolic: str) -> Column:
     """``120/80``; empty without a systolic value, null when only the diastolic is missing."""
-    return F.when(systolic.isNull(), F.lit("")).otherwise(
+    return F.when(F.col(systolic).isNull(), F.lit("")).otherwise(
         F.concat(number_text(systolic), F.lit("/"), number_text(diastolic))
     )
 
@@ -76,5 +76,4 @@ def exit_without_outcome(exits: dict[str, tuple[Column, Column]]) -> Column:
 
 def answer_score(answer: Column) -> Column:
     """0 to 3 for a questionnaire answer, null for a text that is not an answer."""
-    pairs = [F.lit(x) for item in values.ANSWER_SCORES.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), answer)
+    return F.try_element_at(fixed_map(values.ANSWER_SCORES), answer)

@@ -9,16 +9,36 @@ from pyspark.sql import Column, functions as F
 from eavista import values
 
 
-def number_text(col: Column | str) -> Column:
-    """A number as a report shows it: ``120``, not ``120.0``."""
-    x = F.col(col) if isinstance(col, str) else col
-    whole = (x == F.floor(x)) & (F.abs(x) < 1e18)
-    return F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+def quoted(text: str) -> str:
+    """The text as an SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def labelled_sentence(parts: Iterable[tuple[str, Column]], end: str = ". ") -> Column:
-    """``Label: value. `` for each value that is present; empty text when none is."""
-    return F.concat_ws("", *[F.concat(F.lit(label), value, F.lit(end)) for label, value in parts])
+def fixed_map(table: Mapping[str, object]) -> Column:
+    """A fixed lookup table as a map literal."""
+    shown = lambda v: quoted(v) if isinstance(v, str) else str(v)
+    return F.expr("map(" + ", ".join(f"{quoted(k)}, {shown(v)}" for k, v in table.items()) + ")")
+
+
+def number_sql(x: str) -> str:
+    """SQL for a number as a report shows it: ``120``, not ``120.0``."""
+    return (
+        f"CASE WHEN {x} = floor({x}) AND abs({x}) < 1e18 THEN string(bigint({x})) "
+        f"ELSE string({x}) END"
+    )
+
+
+def number_text(column: str) -> Column:
+    return F.expr(number_sql(column))
+
+
+def labelled_sentence(parts: Iterable[tuple[str, str]], end: str = ". ") -> Column:
+    """``Label: value. `` for each value that is present; empty text when none is.
+
+    The parts are (label, SQL expression of the text).
+    """
+    texts = ", ".join(f"concat({quoted(label)}, {sql}, {quoted(end)})" for label, sql in parts)
+    return F.expr(f"concat_ws('', {texts})")
 
 
 def join_present(separator: str, *parts: Column) -> Column:
@@ -38,8 +58,7 @@ def fold_key(col: Column) -> Column:
 
 def recode(col: Column, names: Mapping[str, str], default: Column | None = None) -> Column:
     """Replace ``col`` by its entry in a fixed table, matched on the folded key."""
-    pairs = [F.lit(x) for item in names.items() for x in (item[0], item[1])]
-    folded = F.transform_keys(F.create_map(*pairs), lambda k, _: fold_key(k))
+    folded = F.transform_keys(fixed_map(names), lambda k, _: fold_key(k))
     found = F.try_element_at(folded, fold_key(col))
     return found if default is None else F.coalesce(found, default)
 

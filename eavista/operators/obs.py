@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eavista import values
+from eavista.functions.text import fixed_map, quoted
 from eavista.operators.joins import left_lookup
 from eavista.operators.lookups import Dictionary
 from eavista.session import stage
@@ -35,6 +36,11 @@ VALUE_COLUMNS = {
 }
 
 
+# values of fixed width aggregate in place, in generated code; texts and lists do not
+FIXED_WIDTH = {"numeric", "datetime", "date", "coded", "drug_id"}
+WIDE = 20
+
+
 @dataclass(frozen=True)
 class Measure:
     """One output column: which concept, which typed value, which observation to take.
@@ -80,9 +86,8 @@ def staged_obs(
 
 def ordered_list(value: str, separator: str, *order: str, where: str | None = None) -> Column:
     """Non-null values of a group as one text, in the given order."""
-    item = value if where is None else f"CASE WHEN {where} THEN {value} END"
-    sep = separator.replace("'", "\\'")
-    return F.expr(f"listagg({item}, '{sep}') WITHIN GROUP (ORDER BY {', '.join(order)})")
+    kept = "" if where is None else f" FILTER (WHERE {where})"
+    return F.expr(f"listagg({value}, {quoted(separator)}) WITHIN GROUP (ORDER BY {', '.join(order)}){kept}")
 
 
 def _tagged(obs: DataFrame, column: str, concepts: Sequence[int | str], tag: str, how: str,
@@ -90,8 +95,8 @@ def _tagged(obs: DataFrame, column: str, concepts: Sequence[int | str], tag: str
     """Join the position of each wanted concept as ``tag``; the table has one row per concept."""
     distinct = list(dict.fromkeys(concepts))
     if all(isinstance(c, int) for c in distinct):
-        pairs = [F.struct(F.lit(c).alias("k"), F.lit(i).alias("i")) for i, c in enumerate(distinct)]
-        position = F.try_element_at(F.map_from_entries(F.array(*pairs)), F.col(column).cast("int"))
+        position = F.expr(f"CASE {column} " + " ".join(
+            f"WHEN {c} THEN {i}" for i, c in enumerate(distinct)) + " END")
         tagged = obs.withColumn(tag, position)
         if how == "inner":
             tagged = tagged.filter(F.col(column).isin(*distinct))
@@ -119,8 +124,31 @@ def pivot_obs(
     column. Observations of other concepts are dropped before the shuffle, and the partial
     aggregation keeps one value per key, column and map task. The concept, answer, name and
     drug tables are joined before it; Spark broadcasts them while they are small.
+
+    More than ``WIDE`` columns are made in two halves, numbers and texts: the numbers then
+    stay in the hash aggregate, whose cost hardly grows with the columns, and the halves meet
+    in a join on the key they are already partitioned by. Rows without a key are dropped.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    for k in keys:
+        obs = obs.filter(F.col(k).isNotNull())
+    fixed = [m for m in wanted if m.kind in FIXED_WIDTH]
+    other = [m for m in wanted if m.kind not in FIXED_WIDTH]
+    if len(wanted) <= WIDE or not fixed or not other:
+        return _pivot(obs, keys, wanted, dictionary, names, drugs)
+    numbers = _pivot(obs, keys, fixed, dictionary, names, drugs)
+    texts = _pivot(obs, keys, other, dictionary, names, drugs)
+    return numbers.join(texts, keys, "full").select(*keys, *[m.column for m in wanted])
+
+
+def _pivot(
+    obs: DataFrame,
+    keys: list[str],
+    wanted: Sequence[Measure],
+    dictionary: Dictionary | None,
+    names: DataFrame | None,
+    drugs: DataFrame | None,
+) -> DataFrame:
     concepts = list(dict.fromkeys(m.concept for m in wanted))
     answers = list(dict.fromkeys(m.answer for m in wanted if m.answer is not None))
     kinds = {m.kind for m in wanted}
@@ -147,9 +175,8 @@ def pivot_obs(
             hit += f" AND _answer = {answers.index(m.answer)}"
         if m.kind == "coded_list":
             return ordered_list(value, m.separator, "obs_id", where=hit).alias(m.column)
-        taken = F.expr(f"CASE WHEN {hit} AND {value} IS NOT NULL THEN obs_id END")
-        shown = F.expr(f"CASE WHEN {hit} THEN {value} END")
-        picked = (F.max_by if m.pick == "newest" else F.min_by)(shown, taken)
+        pick = "max_by" if m.pick == "newest" else "min_by"
+        picked = F.expr(f"{pick}({value}, obs_id) FILTER (WHERE {hit} AND {value} IS NOT NULL)")
         return (picked.cast("date") if m.kind == "date" else picked).alias(m.column)
 
     return tagged.groupBy(*keys).agg(*[column(m) for m in wanted])
@@ -230,8 +257,7 @@ def rapid_test_lines(obs: DataFrame, dictionary: Dictionary) -> DataFrame:
     rows = dictionary.with_role(rows, "value_coded", answers, "_result")
     named = dictionary.best_names().select("concept_id", F.col("name").alias("_value"))
     rows = left_lookup(rows, named, "value_coded", "concept_id", "obs_id")
-    label_pairs = [F.lit(x) for item in values.RAPID_TESTS.items() for x in item]
-    label = F.try_element_at(F.create_map(*label_pairs), F.col("_test"))
+    label = F.try_element_at(fixed_map(values.RAPID_TESTS), F.col("_test"))
     suspected = F.col("_test").isin(*values.SUSPICIONS) & (F.col("_result") == "yes")
     shown = (
         F.when(suspected, label)

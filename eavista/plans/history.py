@@ -90,10 +90,8 @@ def history(
 
     kinds = {name: kind for name, _, kind in values.HISTORY_MEASURES}
 
-    def shown(column: str) -> Column:
-        if kinds.get(column) == "numeric":
-            return text.number_text(column)
-        return F.col(column).cast("string")
+    def shown(column: str) -> str:
+        return text.number_sql(column) if kinds.get(column) == "numeric" else f"string({column})"
 
     def sentence(labels: tuple) -> Column:
         return text.labelled_sentence((label, shown(column)) for label, column in labels)
@@ -118,7 +116,9 @@ def history(
         "pathological_history": sentence(values.PATHOLOGICAL_LABELS),
         "gyn_history": sentence(values.GYNECOLOGY_LABELS),
         "genitourinary": sentence(values.GENITOURINARY_LABELS),
-        "bp": clinical.blood_pressure_text(F.col("bp_systolic"), F.col("bp_diastolic")),
+        "bp": clinical.blood_pressure_text("bp_systolic", "bp_diastolic"),
         "entry_date": F.to_date("date_created"),
     }
-    return rows.select(*[computed.get(c, F.col(c)).alias(c) for c in values.HISTORY_COLUMNS])
+    return rows.select(
+        *[computed[c].alias(c) if c in computed else c for c in values.HISTORY_COLUMNS]
+    )

@@ -122,7 +122,7 @@ def _note_columns(rows: DataFrame) -> list[Column]:
         "plan": "Indicaciones Médicas: ",
     }.items()}
     number = lambda label, c: F.concat(F.lit(label), text.number_text(c))
-    glucose = F.coalesce("vitals_glucose", "consult_glucose")
+    glucose = "coalesce(vitals_glucose, consult_glucose)"
     ultrasound = text.prefixed(
         "Ultrasonido: ",
         text.join_present(", ", F.col("ultrasound_type"), F.col("ultrasound_notes")),
@@ -138,7 +138,6 @@ def _note_columns(rows: DataFrame) -> list[Column]:
     facility = lambda c: text.recode(
         F.col(c), values.NOTE_FACILITIES, F.col("encounter_location")
     )
-    gender_pairs = [F.lit(x) for item in values.GENDER_DISPLAY.items() for x in item]
     computed = {
         "encounter_date": date,
         "encounter_time": F.date_format("encounter_datetime", "HH:mm"),
@@ -149,7 +148,7 @@ def _note_columns(rows: DataFrame) -> list[Column]:
         "age_years": ages.full_years(born, date),
         "age_months": ages.months_after_year(born, date),
         "age_days": ages.days_after_month(born, date),
-        "gender_display": F.try_element_at(F.create_map(*gender_pairs), F.col("gender")),
+        "gender_display": F.try_element_at(text.fixed_map(values.GENDER_DISPLAY), F.col("gender")),
         # an unknown registration place falls back to the place of the consult
         "procedencia": facility("registration_location_name"),
         "height_m": F.col("height_cm") / 100,
@@ -158,7 +157,7 @@ def _note_columns(rows: DataFrame) -> list[Column]:
         "diastolic": F.round("diastolic").cast("int"),
         "heart_rate": F.round("heart_rate").cast("int"),
         "respiratory_rate": F.round("respiratory_rate").cast("int"),
-        "glucose_mg_dl": glucose,
+        "glucose_mg_dl": F.expr(glucose),
         "subjective": lists["presenting_history"],
         "physical_exam_line": lists["physical_exam"],
         "ultrasound_line": ultrasound,
@@ -184,4 +183,4 @@ def _note_columns(rows: DataFrame) -> list[Column]:
         "cholesterol_line test_results diagnoses plan diagnoses_and_plan rapid_test_results "
         "treatment sheet_name"
     ).split()
-    return [computed.get(c, F.col(c)).alias(c) for c in order]
+    return [computed[c].alias(c) if c in computed else F.col(c) for c in order]

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from eavista.functions.text import quoted
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -35,14 +37,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _sql_literal(value) -> str:
+    return "NULL" if value is None else quoted(value) if isinstance(value, str) else str(value)
+
+
 def literal_table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
     """A small in-code table. ``columns`` is a DDL string such as ``"code string, label string"``."""
     fields = [c.strip().split(" ") for c in columns.split(",")]
-    structs = [
-        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    tuples = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    casts = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in fields)
+    names = ", ".join(name for name, _ in fields)
+    return spark.sql(f"SELECT {casts} FROM VALUES {tuples} AS t({names})")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
