@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eavista import values
 from eavista.catalog.registry import check
-from eavista.operators import joins, migrate
+from eavista.operators import migrate
 from eavista.operators.filters import active
 from eavista.operators.obs import Measure, pivot_obs
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from eavista import values
 from eavista.catalog.dimensions import _ADDRESS, _NAME
-from eavista.catalog.eav import MEDICATION_SQL, NAMES, RAPID_SQL, listed, measure_sql, pick
+from eavista.catalog.eav import MEDICATION_SQL, NAMES, RAPID_SQL, listed, measure_sql
 from eavista.catalog.fixture import cid
 from eavista.catalog.predicates import _facility_case
 from eavista.catalog.registry import END, START, check

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eavista import values
 from eavista.operators.filters import active
-from eavista.operators.joins import left_lookup
 from eavista.operators.latest import latest_per_key, newest
 from eavista.session import literal_table
 
@@ -149,13 +148,6 @@ class Dictionary:
         return df.join(roles, F.col(column) == F.col("_role_concept")).drop("_role_concept")
 
 
-def with_concept_name(
-    df: DataFrame, dictionary: Dictionary, column: str, name: str, spread: str
-) -> DataFrame:
-    names = dictionary.best_names().select("concept_id", F.col("name").alias(name))
-    return left_lookup(df, names, column, "concept_id", spread)
-
-
 def latest_names(person_name: DataFrame) -> DataFrame:
     """Current name per person: preferred first, then the newest, then the highest id."""
     return latest_per_key(

@@ -5,8 +5,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,6 +20,7 @@ from eavista.session import stage
 OBS_COLUMNS = (
     "obs_id", "obs_group_id", "encounter_id", "person_id", "concept_id", "value_numeric",
     "value_coded", "value_drug", "value_datetime", "value_text", "comments", "date_created",
+    "creator",
 )
 
 VALUE_COLUMNS = {
@@ -63,9 +65,13 @@ def measures(rows: Sequence[tuple], pick: str = "newest") -> list[Measure]:
     return [Measure(r[0], r[1], r[2], r[3] if len(r) > 3 else None, pick) for r in rows]
 
 
-def narrow_obs(obs: DataFrame, keys: DataFrame, key: str = "encounter_id") -> DataFrame:
-    """Live observations of the selected encounters (or groups), each row once."""
-    return obs.filter("voided = 0").join(keys.select(key).distinct(), key, "left_semi")
+def narrow_obs(obs: DataFrame, *keys: DataFrame, key: str = "encounter_id") -> DataFrame:
+    """Live observations of the selected encounters (or groups), each row once.
+
+    Several selections are joined in one pass over the observations.
+    """
+    wanted = reduce(DataFrame.unionByName, [k.select(key) for k in keys]).distinct()
+    return obs.filter("voided = 0").join(wanted, key, "left_semi")
 
 
 def staged_obs(

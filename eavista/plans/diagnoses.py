@@ -8,7 +8,7 @@ from eavista import values
 from eavista.functions import ages
 from eavista.operators.filters import Day
 from eavista.operators.joins import left_lookup
-from eavista.operators.obs import Measure, pivot_obs
+from eavista.operators.obs import Measure, pivot_obs, staged_obs
 from eavista.sources.clinic import Clinic
 
 
@@ -22,7 +22,9 @@ def diagnoses(clinic: Clinic, start: Day = None, end: Day = None) -> DataFrame:
         .select("encounter_id", "patient_id", "encounter_datetime", "location_id")
     )
     codes = {"coded": values.DIAGNOSIS, "text": values.DIAGNOSIS_TEXT}
-    found = dictionary.only_role(clinic.active("obs"), "concept_id", codes, "_role").select(
+    parts = [*codes.values(), values.DIAGNOSIS_ORDER, values.DIAGNOSIS_CERTAINTY]
+    obs = staged_obs(clinic.active("obs"), "diagnoses", dictionary, parts)
+    found = dictionary.only_role(obs, "concept_id", codes, "_role").select(
         "obs_id", "obs_group_id", "encounter_id", "date_created", "creator", "value_coded",
         "value_text",
     )
@@ -30,7 +32,7 @@ def diagnoses(clinic: Clinic, start: Day = None, end: Day = None) -> DataFrame:
 
     # the first order and the first certainty of each group
     siblings = pivot_obs(
-        clinic.active("obs").filter("obs_group_id IS NOT NULL"),
+        obs,
         "obs_group_id",
         [
             Measure("diagnosis_order", values.DIAGNOSIS_ORDER, "coded_name", pick="first"),

@@ -26,14 +26,12 @@ def latest_vitals_in_visit(clinic: Clinic, visits: DataFrame) -> DataFrame:
 
 
 def with_visit_vitals(
-    clinic: Clinic, rows: DataFrame, wanted: list[Measure]
+    clinic: Clinic, rows: DataFrame, latest: DataFrame, obs: DataFrame, wanted: list[Measure]
 ) -> DataFrame:
     """Add the measures of the latest vitals encounter of the same visit."""
-    latest = latest_vitals_in_visit(clinic, rows)
-    keys = latest.select(F.col("vitals_encounter_id").alias("encounter_id"))
-    measured = pivot_obs(
-        narrow_obs(clinic["obs"], keys), "encounter_id", wanted, clinic.dictionary
-    ).withColumnRenamed("encounter_id", "vitals_encounter_id")
+    measured = pivot_obs(obs, "encounter_id", wanted, clinic.dictionary).withColumnRenamed(
+        "encounter_id", "vitals_encounter_id"
+    )
     per_visit = latest.join(measured, "vitals_encounter_id", "left").withColumnRenamed(
         "visit_id", "_visit"
     )
@@ -69,7 +67,9 @@ def history(
         "encounter_id", "patient_id", "visit_id", "location_id", "encounter_datetime",
         "date_created",
     )
-    obs = staged_obs(narrow_obs(clinic["obs"], base), "history")
+    latest = latest_vitals_in_visit(clinic, base)
+    vitals = latest.select(F.col("vitals_encounter_id").alias("encounter_id"))
+    obs = staged_obs(narrow_obs(clinic["obs"], base, vitals), "history")
     answers = pivot_obs(obs, "encounter_id", measures(values.HISTORY_MEASURES), clinic.dictionary)
     pap = _latest_exam(
         clinic, obs, values.PAP_SMEAR, "pap_smear",
@@ -83,7 +83,7 @@ def history(
     rows = base
     for table in (answers, pap, breast, clinic.providers()):
         rows = rows.join(table, "encounter_id", "left")
-    rows = with_visit_vitals(clinic, rows, measures(values.HISTORY_VITALS))
+    rows = with_visit_vitals(clinic, rows, latest, obs, measures(values.HISTORY_VITALS))
     rows = clinic.with_location(rows, "location_id", "location_name", "encounter_id")
     for table in (clinic.people(), clinic.names(), clinic.addresses(), clinic.phones()):
         rows = rows.join(table, "patient_id", "left")

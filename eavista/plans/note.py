@@ -13,7 +13,7 @@ from eavista.operators.obs import (
     Measure, measures, medication_lines, narrow_obs, ordered_list, pivot_obs, rapid_test_lines,
     staged_obs,
 )
-from eavista.plans.history import with_visit_vitals
+from eavista.plans.history import latest_vitals_in_visit, with_visit_vitals
 from eavista.plans.registration import latest_registration
 from eavista.sources.clinic import Clinic
 
@@ -78,11 +78,19 @@ def clinical_note(
         .select("encounter_id", "patient_id", "visit_id", "encounter_datetime", "location_id")
     )
     base = number_rows(base, "consult_id", "encounter_datetime", "encounter_id")
-    codes = [code for _, code, _ in values.NOTE_CONSULT] + [
-        *values.RAPID_TESTS, values.DIAGNOSIS, values.MEDICATION_GROUP,
-        *[code for _, code, _, _ in values.MEDICATION_MEASURES],
-    ]
-    obs = staged_obs(narrow_obs(clinic["obs"], base), "note", dictionary, codes)
+    registered = latest_registration(clinic).drop("registration_datetime")
+    latest = latest_vitals_in_visit(clinic, base)
+    # the consults, the vitals of their visits and the registrations, in one pass
+    codes = [m[1] for table in (values.NOTE_CONSULT, values.NOTE_VITALS, values.MEDICATION_MEASURES)
+             for m in table]
+    codes += [*values.RAPID_TESTS, values.DIAGNOSIS, values.MEDICATION_GROUP, values.POLICY_NUMBER]
+    keys = (
+        base,
+        latest.select(F.col("vitals_encounter_id").alias("encounter_id")),
+        registered.join(base, "patient_id", "left_semi").select(
+            F.col("registration_encounter_id").alias("encounter_id")),
+    )
+    obs = staged_obs(narrow_obs(clinic["obs"], *keys), "note", dictionary, codes)
 
     answers = pivot_obs(obs, "encounter_id", measures(values.NOTE_CONSULT), dictionary)
     tests = rapid_test_lines(obs, dictionary).groupBy("encounter_id").agg(
@@ -93,16 +101,14 @@ def clinical_note(
     for table in (answers, tests, coded_diagnosis_lists(clinic, obs, keep_incomplete),
                   treatment_lists(lines, keep_incomplete), clinic.providers()):
         rows = rows.join(table, "encounter_id", "left")
-    rows = with_visit_vitals(clinic, rows, measures(values.NOTE_VITALS))
+    rows = with_visit_vitals(clinic, rows, latest, obs, measures(values.NOTE_VITALS))
     rows = clinic.with_location(rows, "location_id", "encounter_location", "encounter_id")
 
-    registered = latest_registration(clinic).drop("registration_datetime")
     registered = clinic.with_location(
         registered, "registration_location_id", "registration_location_name", "patient_id"
     )
-    keys = registered.select(F.col("registration_encounter_id").alias("encounter_id"))
     policy = pivot_obs(
-        narrow_obs(clinic["obs"], keys), "encounter_id",
+        obs, "encounter_id",
         [Measure("insurance_policy_number", values.POLICY_NUMBER, "text")], dictionary,
     ).withColumnRenamed("encounter_id", "registration_encounter_id")
     registered = registered.join(policy, "registration_encounter_id", "left")

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from eavista import values
 from eavista.functions import text
-from eavista.operators.filters import Day, active
+from eavista.operators.filters import Day
 from eavista.operators.joins import left_lookup
 from eavista.operators.latest import latest_per_key, newest
-from eavista.operators.obs import Measure, pivot_obs
+from eavista.operators.obs import Measure, narrow_obs, pivot_obs, staged_obs
 from eavista.sources.clinic import Clinic
 
 
@@ -39,20 +39,21 @@ def front_sheet(
     registered = latest_registration(clinic).join(patients, "patient_id", "left_semi")
     rows = patients.join(registered, "patient_id", "left")
 
-    obs = clinic["obs"] if include_voided else active(clinic["obs"])
-    of_registration = obs.join(
-        registered.select(F.col("registration_encounter_id").alias("encounter_id")),
-        "encounter_id",
-        "left_semi",
-    )
+    # the members of an observation group belong to one encounter, so one narrowed copy serves all
+    keys = registered.select(F.col("registration_encounter_id").alias("encounter_id"))
+    codes = [values.INSURANCE, values.POLICY_NUMBER, values.CIVIL_STATUS, values.OCCUPATION]
+    obs = staged_obs(narrow_obs(clinic["obs"], keys), "front-sheet", dictionary, codes)
+    insurance = obs
+    if include_voided:
+        insurance = clinic["obs"].join(keys, "encounter_id", "left_semi")
     insured = dictionary.only_role(
-        of_registration, "concept_id", {"insurance": values.INSURANCE}, "_role"
+        insurance, "concept_id", {"insurance": values.INSURANCE}, "_role"
     ).filter(F.col("value_coded") == dictionary.concept(values.POPULAR_INSURANCE))
     group = insured.groupBy(F.col("encounter_id").alias("_encounter")).agg(
         F.max_by("obs_group_id", "obs_id").alias("seguro_popular_obs_group_id")
     )
     answers = pivot_obs(
-        active(of_registration),
+        obs,
         "encounter_id",
         [
             Measure("civil_status", values.CIVIL_STATUS, "coded_list"),
@@ -61,7 +62,7 @@ def front_sheet(
         dictionary,
     ).withColumnRenamed("encounter_id", "_encounter")
     policy = pivot_obs(
-        clinic.active("obs").filter("obs_group_id IS NOT NULL"),
+        obs,
         "obs_group_id",
         [Measure("seguro_popular_policy_number", values.POLICY_NUMBER, "text")],
         dictionary,

@@ -111,7 +111,7 @@ def _with_diagnosis_labels(clinic: Clinic, obs: DataFrame, rows: DataFrame) -> D
         .agg(F.max("name").alias("name"))
     )
     certainty = pivot_obs(
-        obs.filter("obs_group_id IS NOT NULL"),
+        obs,
         "obs_group_id",
         [Measure("_certainty", values.DIAGNOSIS_CERTAINTY_ARCHIVE, "coded_name", pick="first")],
         dictionary,

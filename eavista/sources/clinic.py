@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eavista import values
 from eavista.operators import lookups
-from eavista.operators.filters import Day, active, in_date_range, patient_or_range
+from eavista.operators.filters import Day, active, patient_or_range
 from eavista.operators.joins import left_lookup
 from eavista.operators.lookups import Dictionary
 
@@ -85,9 +85,6 @@ class Clinic:
         )
         return df.join(flagged, "patient_id", "left_anti")
 
-    def dated(self, df: DataFrame, column: str, start: Day, end: Day) -> DataFrame:
-        return in_date_range(df, column, start, end)
-
     # --- columns added by id -------------------------------------------------
 
     def people(self) -> DataFrame:

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eavista import values
-from eavista.functions.text import fold_key
 
 CONCEPT_COLUMNS = {
     "uuid": "uuid",
@@ -283,37 +282,39 @@ def with_format_check(
     )
 
 
+def _cells(line: str) -> Column:
+    return F.split(line, "\\" + values.ADDRESS_ENTRY_DELIMITER)
+
+
+def _cell_part(cell: Column, part: int) -> Column:
+    return F.trim(F.split_part(cell, F.lit(values.ADDRESS_IDENTIFIER_DELIMITER), F.lit(part)))
+
+
 def split_hierarchy(df: DataFrame, line: str) -> DataFrame:
     """Hierarchy lines as entries: (depth, level, name, identifier, parent_path, path).
 
     An entry may carry an identifier after ``^``. Shared upper levels appear once.
     """
-    cells = F.split(line, r"\|")
     level_names = F.array(*[F.lit(v) for v in values.ADDRESS_LEVELS])
-    names = F.transform(cells, lambda c: F.trim(F.split_part(c, F.lit("^"), F.lit(1))))
-    entry = df.select(
-        names.alias("_names"), F.posexplode(cells).alias("_at", "_cell")
-    ).filter(F.trim(F.split_part("_cell", F.lit("^"), F.lit(1))) != "")
+    names = F.transform(_cells(line), lambda c: _cell_part(c, 1))
+    entry = df.select(names.alias("_names"), F.posexplode(_cells(line)).alias("_at", "_cell"))
+    entry = entry.filter(_cell_part(F.col("_cell"), 1) != "")
+    at, separator = F.col("_at"), values.ADDRESS_ENTRY_DELIMITER
     return entry.select(
-        (F.col("_at") + 1).alias("depth"),
-        F.try_element_at(level_names, F.col("_at") + 1).alias("level"),
-        F.get("_names", F.col("_at")).alias("name"),
-        F.nullif(F.trim(F.split_part("_cell", F.lit("^"), F.lit(2))), F.lit("")).alias("identifier"),
-        F.array_join(F.slice("_names", F.lit(1), F.col("_at")), "|").alias("parent_path"),
-        F.array_join(F.slice("_names", F.lit(1), F.col("_at") + 1), "|").alias("path"),
+        (at + 1).alias("depth"),
+        F.try_element_at(level_names, at + 1).alias("level"),
+        F.get("_names", at).alias("name"),
+        F.nullif(_cell_part(F.col("_cell"), 2), F.lit("")).alias("identifier"),
+        F.array_join(F.slice("_names", F.lit(1), at), separator).alias("parent_path"),
+        F.array_join(F.slice("_names", F.lit(1), at + 1), separator).alias("path"),
     ).distinct()
 
 
 def missing_required_levels(df: DataFrame, line: str) -> DataFrame:
     """Lines that leave a required level of the hierarchy empty."""
-    cells = F.split(line, r"\|")
+    cells = _cells(line)
     empty = [
         F.coalesce(F.trim(F.get(cells, values.ADDRESS_LEVELS.index(level))), F.lit("")) == ""
         for level in values.REQUIRED_ADDRESS_LEVELS
     ]
     return df.filter(reduce(lambda a, b: a | b, empty))
-
-
-def same_name(a: Column, b: Column) -> Column:
-    """Names equal up to case, accents and trailing spaces."""
-    return fold_key(a) == fold_key(b)

@@ -103,9 +103,6 @@ INSURANCE = "Mexico Insurance Coded"
 POPULAR_INSURANCE = "Seguro Popular"
 POLICY_NUMBER = "Insurance policy number"
 CIVIL_STATUS, OCCUPATION = "CIVIL STATUS", "Occupation"
-CIVIL_STATUS_ANSWERS = (
-    "SINGLE OR A CHILD", "MARRIED", "LIVING WITH PARTNER", "SEPARATED", "DIVORCED", "WIDOWED",
-)
 FASTING_ANSWERS = ("YES", "NO")
 
 # --- medication lines: (column, concept code, kind, part of the day) --------
