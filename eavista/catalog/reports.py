@@ -57,7 +57,7 @@ LEFT JOIN {_OBS} q ON q.obs_group_id = n.obs_group_id AND q.concept_id = {cid(va
 WHERE d.name LIKE 'SITE%' AND d.retired = 0 GROUP BY d.drug_id, d.name, l.location_id, l.name
 """)
 def report_meds_stock(fx):
-    return drugs.meds_stock(fx.clinic, "SITE", START, END)
+    return drugs.meds_stock(fx.clinic, START, END, name_prefix="SITE")
 
 
 @check("report_meds_dispensed", f"""

@@ -17,9 +17,9 @@ def _live(df: DataFrame, include_voided: bool) -> DataFrame:
 
 def meds_stock(
     clinic: Clinic,
-    name_prefix: str,
     start: Day,
     end: Day,
+    name_prefix: str = "",
     include_voided: bool = False,
     all_numeric: bool = False,
 ) -> DataFrame:

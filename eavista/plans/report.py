@@ -21,15 +21,21 @@ class Report:
     designs: Sequence[tuple[str, str | None]] = field(default_factory=tuple)
 
     def run(
-        self, clinic: Clinic, start: Day = None, end: Day = None, patient_id: int | None = None
+        self,
+        clinic: Clinic,
+        start: Day = None,
+        end: Day = None,
+        patient_id: int | None = None,
+        **options,
     ) -> dict[str, DataFrame]:
+        """The datasets by name; ``options`` are passed on to their functions."""
         if patient_id is not None and not self.by_patient:
             raise ValueError(f"{self.key} runs for a date range only")
         if patient_id is None and (start is None or end is None):
             raise ValueError(f"{self.key} needs a start and an end date")
         extra = {"patient_id": patient_id} if self.by_patient else {}
         return {
-            name: build(clinic, start=start, end=end, **extra)
+            name: build(clinic, start=start, end=end, **extra, **options)
             for name, build in self.datasets.items()
         }
 

@@ -11,12 +11,11 @@ from eavista.catalog.fixture import Fixture
 from eavista.functions import ages, clinical, text
 from eavista.operators import joins, migrate
 from eavista.operators.filters import in_date_range, overlay, patient_or_range
-from eavista.operators.latest import carry_forward, number_rows
+from eavista.operators.latest import carry_forward, latest_per_key, newest, number_rows
 from eavista.operators.lookups import Dictionary, latest_names
-from eavista.operators.obs import Measure, measures, pivot_obs
-from eavista.plans import note
-from eavista.plans.history import history
-from eavista.plans.report import Report, nested
+from eavista.operators.obs import Measure, measures, pivot_obs, repeated_children
+from eavista.plans import REPORTS, note
+from eavista.plans.report import nested
 from eavista.session import literal_table
 from eavista.sources import dictionaries, sites
 from tests.compare import SF_DIR
@@ -152,6 +151,13 @@ def test_latest_name_tie(spark):
     assert [r["given_name"] for r in latest_names(rows).collect()] == ["b"]
 
 
+def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    latest = latest_per_key(rows, "o_custkey", *newest("o_orderdate", "o_orderkey"))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_number_rows_with_a_hot_key(spark):
     rng = random.Random(1)
     rows = [(i, 0 if i % 3 else rng.randint(-5, 5)) for i in range(5000)]
@@ -293,14 +299,27 @@ def test_incomplete_items(spark):
 
 def test_single_patient_report(spark):
     clinic = Fixture.of(spark, SF_DIR).clinic
-    report = Report("history", {"history": history}, by_patient=True)
-    rows = report.run(clinic, patient_id=3)["history"]
+    rows = REPORTS["clinical_history"].run(clinic, patient_id=3)["histories"]
     ids = {r["encounter_id"] for r in rows.collect()}
     expected = {r[0] for r in clinic.encounters(values.CLINICAL_HISTORY, patient_id=3).select("encounter_id").collect()}
     assert ids == expected and ids
     assert all("-" != r["sheet_name"][0] and r["sheet_name"][:2].isdigit() for r in rows.collect())
     with pytest.raises(ValueError):
-        Report("note", {}).run(clinic, patient_id=3)
+        REPORTS["clinical_note"].run(clinic, patient_id=3)
+
+
+def test_repeated_children(spark):
+    rows = [(1, 7, 1, 4, None, None, None), (2, 7, 1, 4, None, None, None), (3, 8, 1, 4, None, None, None)]
+    mapping = literal_table(spark, "concept_id int, source string, code string", [(4, "LOCAL", values.MEDICATION)])
+    found = repeated_children(spark.createDataFrame(rows, OBS), Dictionary(mapping, dictionary(spark).names))
+    assert [(r["obs_group_id"], r["occurrences"]) for r in found.collect()] == [(7, 2)]
+
+
+def test_voided_rows_count_only_on_request(spark):
+    clinic = Fixture.of(spark, SF_DIR).clinic
+    total = lambda **options: REPORTS["meds_dispensed"].run(
+        clinic, "1995-01-01", "2001-12-31", **options)["meds"].agg(F.sum("Cantidad")).first()[0]
+    assert total() < total(include_voided=True)
 
 
 # --- migrations -----------------------------------------------------------------
@@ -332,6 +351,16 @@ def test_multi_value_cell(spark):
     assert got == [("SAME-AS", "CIEL", "6039"), ("SAME-AS", "CIEL", "620")]
 
 
+def test_locations(spark):
+    names = ["UUID", "Name", "Description", "Parent", "Tag|Visit Location", "Tag|Vitals Location"]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = [("u1", "Chiapas", None, None, "TRUE", None), ("u2", "Reforma", None, "Chiapas", "TRUE", "TRUE")]
+    places, tags = dictionaries.locations(spark.createDataFrame(rows, schema))
+    assert {r["uuid"]: r["parent_uuid"] for r in places.collect()} == {"u1": None, "u2": "u1"}
+    assert sorted(map(tuple, tags.collect())) == [
+        ("u1", "Visit Location"), ("u2", "Visit Location"), ("u2", "Vitals Location")]
+
+
 def test_closure_with_a_cycle(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 9)], "s int, m int")
     got = {(r["root"], r["member"]) for r in dictionaries.set_closure(edges, "s", "m").collect()}
