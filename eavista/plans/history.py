@@ -10,7 +10,7 @@ from eavista.operators.filters import Day
 from eavista.operators.joins import left_lookup
 from eavista.operators.latest import latest_per_key, newest
 from eavista.operators.obs import (
-    Measure, latest_marked_group, measures, narrow_obs, pivot_obs, staged_obs,
+    Measure, measures, narrow_obs, ordered_list, pivot_obs, staged_obs,
 )
 from eavista.sources.clinic import Clinic
 
@@ -38,24 +38,36 @@ def with_visit_vitals(
     return left_lookup(rows, per_visit, "visit_id", "_visit", "encounter_id")
 
 
-def _latest_exam(
-    clinic: Clinic, obs: DataFrame, marker: str, prefix: str, wanted: list[Measure]
-) -> DataFrame:
-    """Date, group and group values of the newest procedure group marked with a concept."""
+def _latest_exams(clinic: Clinic, obs: DataFrame) -> DataFrame:
+    """(encounter_id, pap, breast): the newest procedure group of each kind, as a struct.
+
+    One aggregate describes every procedure group (its date, comment, result and the markers it
+    contains), a second one picks the latest marked group per encounter: the latest date, then
+    the highest group id.
+    """
     dictionary = clinic.dictionary
-    latest = latest_marked_group(
-        obs,
-        F.col("value_coded") == dictionary.concept(marker),
-        F.col("concept_id") == dictionary.concept(values.PROCEDURE_DATE),
+    rows = obs.filter("obs_group_id IS NOT NULL")
+    parts = {"date": values.PROCEDURE_DATE, "comment": values.PROCEDURE_COMMENT,
+             "result": values.PAP_SMEAR}
+    rows = dictionary.with_role(rows, "concept_id", parts, "_part")
+    markers = {"pap": values.PAP_SMEAR, "breast": values.BREAST_EXAM}
+    rows = dictionary.with_role(rows, "value_coded", markers, "_marker")
+    rows = rows.filter("_part IS NOT NULL OR _marker IS NOT NULL")
+    names = dictionary.best_names().select(
+        F.col("concept_id").alias("_concept"), F.col("name").alias("_name"))
+    rows = left_lookup(rows, names, "value_coded", "_concept", "obs_id")
+    groups = rows.groupBy("encounter_id", "obs_group_id").agg(
+        F.expr("max(value_datetime) FILTER (WHERE _part = 'date')").alias("at"),
+        F.expr("max_by(value_text, obs_id) FILTER (WHERE _part = 'comment' "
+               "AND value_text IS NOT NULL)").alias("comment"),
+        ordered_list("_name", values.LIST_SEPARATOR, "obs_id", where="_part = 'result'").alias("result"),
+        F.max(F.expr("coalesce(_marker = 'pap', false)")).alias("is_pap"),
+        F.max(F.expr("coalesce(_marker = 'breast', false)")).alias("is_breast"),
     )
-    found = pivot_obs(
-        obs.filter("obs_group_id IS NOT NULL"), "obs_group_id", wanted, dictionary
-    ).withColumnRenamed("obs_group_id", "group")
-    return latest.join(found, "group", "left").select(
-        "encounter_id",
-        F.col("date").alias(f"latest_{prefix}_date"),
-        F.col("group").alias(f"{prefix}_obs_group_id"),
-        *[m.column for m in wanted],
+    described = "max(struct(at, obs_group_id, result, comment)) FILTER (WHERE {} AND at IS NOT NULL)"
+    return groups.groupBy("encounter_id").agg(
+        F.expr(described.format("is_pap")).alias("_pap"),
+        F.expr(described.format("is_breast")).alias("_breast"),
     )
 
 
@@ -71,22 +83,21 @@ def history(
     vitals = latest.select(F.col("vitals_encounter_id").alias("encounter_id"))
     obs = staged_obs(narrow_obs(clinic["obs"], base, vitals), "history")
     answers = pivot_obs(obs, "encounter_id", measures(values.HISTORY_MEASURES), clinic.dictionary)
-    pap = _latest_exam(
-        clinic, obs, values.PAP_SMEAR, "pap_smear",
-        [Measure("pap_smear_result", values.PAP_SMEAR, "coded_list"),
-         Measure("pap_smear_comments", values.PROCEDURE_COMMENT, "text")],
-    )
-    breast = _latest_exam(
-        clinic, obs, values.BREAST_EXAM, "breast_exam",
-        [Measure("breast_exam_comments", values.PROCEDURE_COMMENT, "text")],
-    )
     rows = base
-    for table in (answers, pap, breast, clinic.providers()):
+    for table in (answers, _latest_exams(clinic, obs), clinic.providers()):
         rows = rows.join(table, "encounter_id", "left")
     rows = with_visit_vitals(clinic, rows, latest, obs, measures(values.HISTORY_VITALS))
     rows = clinic.with_location(rows, "location_id", "location_name", "encounter_id")
     for table in (clinic.people(), clinic.names(), clinic.addresses(), clinic.phones()):
         rows = rows.join(table, "patient_id", "left")
+    rows = rows.withColumns({
+        "latest_pap_smear_date": F.to_date("_pap.at"),
+        "pap_smear_result": F.col("_pap.result"),
+        "pap_smear_comments": F.col("_pap.comment"),
+        "latest_breast_exam_date": F.to_date("_breast.at"),
+        "breast_exam_obs_group_id": F.col("_breast.obs_group_id"),
+        "breast_exam_comments": F.col("_breast.comment"),
+    })
 
     kinds = {name: kind for name, _, kind in values.HISTORY_MEASURES}
 
