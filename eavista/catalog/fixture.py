@@ -436,8 +436,8 @@ class Fixture:
             made = self.spark.sql(text, **inputs)
             if name == "fx_lines":
                 # the test tables are single files, read by one task; spread before the explode
-                parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-                made = made.repartition(parts, "l_orderkey", "l_linenumber")
+                cores = self.spark.sparkContext.defaultParallelism
+                made = made.repartition(cores, "l_orderkey", "l_linenumber")
             self._made[name] = made
         return self._stored(name) if name in STORED else self._made[name]
 
