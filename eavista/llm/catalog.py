@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eavista.llm import bpe, exact_chunks, quality_rules, url_filter
+from eavista.llm import (
+    bpe, exact_chunks, line_dedup, quality_qda, quality_rules, secret_scan, simhash_dedup, url_filter,
+)
 from eavista.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +31,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+@query("op2_quality_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
 #: Word lists of the check SQL: the ASCII spaces are one separator.
-_WORDS = "list_filter(string_split_regex({text}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+_WORDS = "list_filter(string_split_regex({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
 
 def _count(text: str, pattern: str) -> str:
@@ -43,7 +55,7 @@ _LINE_FAILS = f"""(
     OR 100 * {_count('line', '[!?]{2,}')} > {quality_rules.MAX_STUTTER} * n
     OR n >= {quality_rules.PROSE_WORDS} AND NOT regexp_matches(line, '[.!?:;]')
     OR {_count('line', '[|»]')} >= 3 AND 4 * {_count('line', '[|»]')} >= n
-    OR n >= 4 AND 100 * len(list_filter(range(2, n + 1), i -> words[i] = words[i - 1])) > {quality_rules.MAX_STUTTER} * n
+    OR n >= 4 AND 100 * len(list_filter(range(2, n + 1), lambda i: words[i] = words[i - 1])) > {quality_rules.MAX_STUTTER} * n
     OR n <= {quality_rules.FURNITURE_WORDS} AND regexp_matches(lower(line), '{"|".join(quality_rules.FURNITURE)}')
 )"""
 
@@ -68,16 +80,16 @@ by_doc AS (
     FROM judged GROUP BY doc_id
 ),
 tokens AS (
-    SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS at
+    SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place
     FROM (SELECT doc_id, {_WORDS.format(text='text')} AS words FROM docs)
 ),
 windows AS (
-    SELECT doc_id, at, (count(*) OVER w) = {quality_rules.WINDOW} AS whole, array_to_string((list(word) OVER w), ' ') AS content
-    FROM tokens WINDOW w AS (PARTITION BY doc_id ORDER BY at ROWS BETWEEN CURRENT ROW AND {quality_rules.WINDOW - 1} FOLLOWING)
+    SELECT doc_id, place, (count(*) OVER w) = {quality_rules.WINDOW} AS whole, array_to_string((list(word) OVER w), ' ') AS content
+    FROM tokens WINDOW w AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND {quality_rules.WINDOW - 1} FOLLOWING)
 ),
-found AS (SELECT doc_id, at, whole AND count(*) OVER (PARTITION BY doc_id, whole, content) > 1 AS twice FROM windows),
+found AS (SELECT doc_id, place, whole AND count(*) OVER (PARTITION BY doc_id, whole, content) > 1 AS twice FROM windows),
 covered AS (
-    SELECT doc_id, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY at ROWS BETWEEN {quality_rules.WINDOW - 1} PRECEDING AND CURRENT ROW) AS inside
+    SELECT doc_id, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN {quality_rules.WINDOW - 1} PRECEDING AND CURRENT ROW) AS inside
     FROM found
 ),
 repeats AS (SELECT doc_id, count(*) FILTER (inside) AS n_repeat_words FROM covered GROUP BY doc_id),
@@ -95,6 +107,31 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
 
+@query("op6_line_dedup", f"""
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+lines AS (
+    SELECT doc_id, source, text, line, place, regexp_replace(line, '^[ \\t-\\r]+|[ \\t-\\r]+$', '', 'g') AS bare
+    FROM (SELECT *, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM docs)
+),
+spread AS (
+    SELECT bare FROM lines WHERE regexp_matches(bare, '[^ \\t-\\r][ \\t-\\r]+[^ \\t-\\r]')
+    GROUP BY bare HAVING count(DISTINCT source) >= {line_dedup.SITES}
+),
+marked AS (SELECT *, bare IN (SELECT bare FROM spread) AS hit FROM lines),
+by_doc AS (
+    SELECT doc_id, text, count(*) AS n_lines, count(*) FILTER (hit) AS hits,
+           100 * coalesce(sum(length(line)) FILTER (hit), 0) <= {line_dedup.MAX_SHARE} * length(text) AS few,
+           coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT hit), '') AS clean
+    FROM marked GROUP BY doc_id, text
+)
+SELECT doc_id, n_lines, CASE WHEN few THEN hits ELSE 0 END AS n_removed,
+       sha256(CASE WHEN few AND hits > 0 THEN clean ELSE text END) AS kept_sha256
+FROM by_doc
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 _AFTER = "'^(?s:.*?)://"
 _RULE_CASES = sorted(url_filter.RULES, key=lambda r: -len(r.text))
 
@@ -130,6 +167,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.listed_hosts(pages))
 
 
+@query("op8_simhash_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op10_exact_dedup", """
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 kept AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM docs GROUP BY text)
