@@ -17,11 +17,13 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eavista.llm.common import sha256, whole_text
+from eavista.session import stage
 
 
 class Kind(NamedTuple):
@@ -36,20 +38,20 @@ def _either_case(word: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
 
 
-#: The base formats.
+#: The base formats. What looks around only spares the matcher places that can not match.
 ASSIGN = (
-    "(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key"))) + ")"
+    "(?=[AaPpSsTt])(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key"))) + ")"
     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
 BASE = (
     Kind("assign", ASSIGN, 2, 6),
     Kind("access", "AKIA[A-Z0-9]{16,}", 0, 20),
-    Kind("hex", "[0-9a-f]{24,}", 0, 24),
+    Kind("hex", "(?<![0-9a-f])[0-9a-f]{24,}", 0, 24),
 )
 #: The spans that the models add.
 MODEL_KIND = "random"
 #: Runs that the models judge; they are at least 16 characters long.
-CANDIDATE = "[A-Za-z0-9+/=_-]{16,}"
+CANDIDATE = "(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{16,}"
 #: Ordinary identifiers for training: candidates of letters, `_` and `-` only.
 ORDINARY = "^[A-Za-z_-]+$"
 #: Codes from "+" to "z" are the models' states.
@@ -60,46 +62,56 @@ MIN_RATIO, SMOOTHING = 10_000, 0.5
 _BLOCK = 256
 
 
-def _positions(text: Column, pattern: str, value: Column) -> Column:
-    """Array of (start, end, value) of all matches, with the matched text or group in ``value``."""
-    gaps = F.split(text, pattern, -1)
-    steps = F.zip_with(
-        F.transform(gaps, lambda g: F.char_length(g)),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, match: F.struct(
-            gap.alias("gap"), F.coalesce(F.char_length(match), F.lit(0)).alias("size"), match.alias("match")
-        ),
-    )
-    steps = F.zip_with(steps, value, lambda s, v: F.struct(s["gap"], s["size"], v.alias("value")))
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / _BLOCK).cast("int")),
-        lambda b: F.slice(steps, b * _BLOCK + 1, _BLOCK),
-    )
-    sums = F.transform(
-        blocks, lambda block: F.aggregate(block, F.lit(0), lambda total, s: total + s["gap"] + s["size"])
-    )
-    before = F.aggregate(
-        sums, F.array(F.lit(0)), lambda known, s: F.concat(known, F.array(F.element_at(known, -1) + s))
-    )
-    span = "struct<start:int,end:int,value:string>"
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), lambda bound: body(bound)), 1)
+
+
+def _positions(text: Column, pattern: str, group: int) -> Column:
+    """Array of (start, end, value) of all matches, with the text of the group in ``value``."""
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g))
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else None
+
+    def sized(gap: Column, match: Column) -> Column:
+        return F.struct(gap.alias("gap"), F.coalesce(F.char_length(match), F.lit(0)).alias("size"), match.alias("value"))
+
+    steps = F.zip_with(gaps, matches, sized)
+    if values is not None:
+        steps = F.zip_with(steps, values, lambda s, v: F.struct(s["gap"], s["size"], v.alias("value")))
+
+    def blocked(steps: Column) -> Column:
+        last = F.floor((F.size(steps) - 1) / _BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(steps, b * _BLOCK + 1, _BLOCK))
+
+    def begins(blocks: Column) -> Column:
+        sums = F.transform(
+            blocks, lambda block: F.aggregate(block, F.lit(0), lambda total, s: total + s["gap"] + s["size"])
+        )
+        return F.aggregate(
+            sums, F.array(F.lit(0)), lambda known, s: F.concat(known, F.array(F.element_at(known, -1) + s))
+        )
+
+    nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def step(done: Column, s: Column) -> Column:
         begin = done["at"] + s["gap"]
         found = F.struct(begin.alias("start"), (begin + s["size"]).alias("end"), s["value"].alias("value"))
         return F.struct((begin + s["size"]).alias("at"), F.concat(done["out"], F.array(found)).alias("out"))
 
-    placed = F.transform(blocks, lambda block, b: F.aggregate(
-        block, F.struct(F.element_at(before, b + 1).alias("at"), empty["out"].alias("out")), step, lambda d: d["out"]
-    ))
-    return F.filter(F.flatten(placed), lambda s: s["end"] > s["start"])
+    def placed(blocks: Column, before: Column) -> Column:
+        return F.flatten(F.transform(blocks, lambda block, b: F.aggregate(
+            block, F.struct(F.element_at(before, b + 1).alias("at"), nothing.alias("out")), step, lambda d: d["out"]
+        )))
+
+    spans = _let(steps, lambda s: _let(blocked(s), lambda blocks: _let(begins(blocks), lambda b: placed(blocks, b))))
+    return F.filter(spans, lambda s: s["end"] > s["start"])
 
 
 def _found(text: Column, pattern: str, group: int = 0) -> Column:
     """``_positions`` of texts that match at all; most do not and are read once."""
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(text.rlike(pattern), _positions(text, pattern, value)).otherwise(none)
+    return F.when(text.rlike(pattern), _positions(text, pattern, group)).otherwise(none)
 
 
 def _base(text: Column) -> dict[str, Column]:
@@ -118,8 +130,8 @@ def _candidates(text: Column, base: Column) -> Column:
     )
 
 
-def _spans(docs: DataFrame) -> DataFrame:
-    """doc_id, assign, access, hex, candidates: arrays of (start, end, value)."""
+def located(docs: DataFrame) -> DataFrame:
+    """doc_id, assign, access, hex, candidates: arrays of (start, end, value); all that needs the texts."""
     text = whole_text(docs)
     found = docs.select(docs["doc_id"].alias("doc_id"), text.alias("text"))
     found = found.select("doc_id", "text", *[c.alias(n) for n, c in _base(F.col("text")).items()])
@@ -127,9 +139,8 @@ def _spans(docs: DataFrame) -> DataFrame:
     return found.withColumn("candidates", _candidates(F.col("text"), base)).drop("text")
 
 
-def samples(docs: DataFrame) -> DataFrame:
+def samples(spans: DataFrame) -> DataFrame:
     """value, label: values of base spans are random (1), candidates of letters only are ordinary (0)."""
-    spans = _spans(docs)
     random = F.transform(
         F.concat(*[F.col(k.name) for k in BASE]), lambda s: F.struct(s["value"].alias("value"), F.lit(1).alias("label"))
     )
@@ -184,8 +195,8 @@ def ratio(value: Column, model: list[int]) -> Column:
     return F.aggregate(_codes(value), start, step, lambda done: done["sum"])
 
 
-def scan(docs: DataFrame, model: list[int]) -> DataFrame:
-    """doc_id, spans: array of (start, kind_no, end, kind) in order, for every row."""
+def scan(spans: DataFrame, model: list[int]) -> DataFrame:
+    """doc_id, spans: array of (start, kind_no, end, kind) in order, for every row of ``located``."""
     names = [k.name for k in BASE]
 
     def kind(spans: Column, number: int, name: str) -> Column:
@@ -195,7 +206,7 @@ def scan(docs: DataFrame, model: list[int]) -> DataFrame:
 
     model_spans = F.filter("candidates", lambda s: ratio(s["value"], model) >= MIN_RATIO)
     parts = [kind(F.col(n), i, n) for i, n in enumerate(names)] + [kind(model_spans, len(names), MODEL_KIND)]
-    return _spans(docs).select("doc_id", F.array_sort(F.concat(*parts)).alias("spans"))
+    return spans.select("doc_id", F.array_sort(F.concat(*parts)).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -207,7 +218,8 @@ def listed(spans: Column) -> Column:
 
 def secrets(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans; models are trained on ``docs`` itself."""
-    found = scan(docs, train(samples(docs)))
+    spans = stage(located(docs), "spans")
+    found = scan(spans, train(samples(spans)))
     base = F.filter("spans", lambda s: s["kind"] != MODEL_KIND)
 
     def count(name: str) -> Column:
