@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eavista.llm import (
-    bpe, exact_chunks, line_dedup, quality_qda, quality_rules, secret_scan, simhash_dedup, url_filter,
+    bpe, exact_chunks, line_dedup, quality_qda, quality_rules, secret_scan, simhash_dedup, substring_dedup,
+    url_filter,
 )
 from eavista.llm.common import table
 
@@ -172,6 +173,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 @query("op10_exact_dedup", """
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 kept AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM docs GROUP BY text)

@@ -15,14 +15,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eavista.llm import bloom
 from eavista.llm.common import ascii_lower
 
 BLOCK_BITS = 14
-PROBES = 6
 #: Query parameters that name a visit, not a page.
 TRACKING = "utm_[a-z]+|ref|fbclid|gclid"
 
@@ -85,58 +83,6 @@ def longest_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
     return text, verdict
 
 
-def _block_and_word(first: Column, second: Column, block_bits: int) -> tuple[Column, list[Column], list[Column]]:
-    """Block of a key, and the word (0-7) and bit (0-63) of each probe, from its two hashes."""
-    block = F.shiftrightunsigned(first, 64 - block_bits)
-    spots = [F.shiftrightunsigned(second, 9 * i).bitwiseAND(511).cast("int") for i in range(PROBES)]
-    return block, [F.shiftright(s, 6) for s in spots], [s.bitwiseAND(63) for s in spots]
-
-
-def _hashes(canonical: Column) -> tuple[Column, Column]:
-    return F.xxhash64(canonical), F.xxhash64(F.lit("bits"), canonical)
-
-
-def bloom_blocks(listed: DataFrame, block_bits: int = BLOCK_BITS) -> np.ndarray:
-    """The filter as an array of blocks x 8 words; at most ``2 ** block_bits`` rows come to the driver."""
-    block, words, bits = _block_and_word(*_hashes(F.col("canonical")), block_bits)
-    columns = [
-        F.expr("bit_or(" + " | ".join(
-            f"if(w{i} = {w}, shiftleft(1L, b{i}), 0L)" for i in range(PROBES)) + f") AS word{w}")
-        for w in range(8)
-    ]
-    rows = (
-        listed.filter("canonical IS NOT NULL")
-        .select(block.alias("block"), *[c.alias(f"w{i}") for i, c in enumerate(words)],
-                *[c.alias(f"b{i}") for i, c in enumerate(bits)])
-        .groupBy("block").agg(*columns).collect()
-    )
-    filled = np.zeros((1 << block_bits, 8), dtype=np.int64)
-    for row in rows:
-        filled[row[0]] = row[1:]
-    return filled.view(np.uint64)
-
-
-def maybe_listed(spark, blocks: np.ndarray):
-    """A column function: may this canonical URL, given by its two hashes, be on the list?"""
-    shared = spark.sparkContext.broadcast(blocks)
-    block_bits = int(len(blocks)).bit_length() - 1
-
-    @F.pandas_udf("boolean")
-    def hit(first: pd.Series, second: pd.Series) -> pd.Series:
-        words = shared.value
-        known = (first.notna() & second.notna()).to_numpy()
-        a = first.fillna(0).to_numpy(np.int64).view(np.uint64)
-        b = second.fillna(0).to_numpy(np.int64).view(np.uint64)
-        block = (a >> np.uint64(64 - block_bits)).astype(np.int64)
-        for i in range(PROBES):
-            spot = (b >> np.uint64(9 * i)) & np.uint64(511)
-            word = words[block, (spot >> np.uint64(6)).astype(np.int64)]
-            known = known & ((word >> (spot & np.uint64(63))) & np.uint64(1)).astype(bool)
-        return pd.Series(known)
-
-    return hit
-
-
 def listed_pattern(words: Sequence[str] = LISTED_WORDS) -> str:
     return r"(^|\.)([a-z0-9]+-)*(" + "|".join(words) + r")(-[a-z0-9]+)*\."
 
@@ -151,16 +97,14 @@ def listed_hosts(pages: DataFrame, words: Sequence[str] = LISTED_WORDS) -> DataF
 
 def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = RULES, block_bits: int = BLOCK_BITS) -> DataFrame:
     """page_id, host, path, rule, verdict, listed for every page. ``listed`` has a column canonical."""
-    spark = pages.sparkSession
-    hit = maybe_listed(spark, bloom_blocks(listed, block_bits))
+    maybe = bloom.tester(pages.sparkSession, bloom.build(listed, "canonical", block_bits))
     url = pages["url"].cast("string")
     host, path = host_of(url), path_of(url)
     rule, verdict = longest_rule(host, path, rules)
-    first, second = _hashes(canonical_of(url))
     seen = pages.select(
         pages["page_id"].alias("page_id"), host.alias("host"), path.alias("path"), rule.alias("rule"),
         verdict.alias("rule_verdict"), canonical_of(url).alias("canonical"),
-        F.when(canonical_of(url).isNotNull(), hit(first, second)).otherwise(False).alias("maybe"),
+        maybe(canonical_of(url)).alias("maybe"),
     )
     possible = seen.filter("maybe")
     exact = (
