@@ -272,11 +272,11 @@ def decoder(spark: SparkSession, path: str):
     return decode
 
 
-DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
 
 
-def digest(spark: SparkSession, path: str):
-    """A column function from text to the digests of its ids and of the text decoded from them."""
+def digest(spark: SparkSession, path: str, with_ids: bool = False):
+    """A column function from text to its ids and the digests of the ids and of the text decoded from them."""
     shared = spark.sparkContext.broadcast(Vocabulary(path))
 
     @F.pandas_udf(DIGEST)
@@ -291,24 +291,22 @@ def digest(spark: SparkSession, path: str):
                     len(ids),
                     hashlib.sha256(listed).hexdigest(),
                     hashlib.sha256(codec.decode(ids).encode()).hexdigest(),
+                    ids if with_ids else None,
                 ))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
     return run
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id and the columns of ``DIGEST`` for every row."""
+    """doc_id, n_tokens and the digests of ids and decoded text for every row."""
     run = digest(docs.sparkSession, path or vocabulary_path())
     found = docs.select(docs["doc_id"].alias("doc_id"), run(whole_text(docs)).alias("d"))
-    return found.select("doc_id", "d.*")
+    return found.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 
 def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The documents with their token ids, ``n_tokens`` and the text decoded from the ids."""
-    path = path or vocabulary_path()
-    spark = docs.sparkSession
-    text: Column = whole_text(docs)
-    ids = docs.select(docs["doc_id"].alias("doc_id"), encoder(spark, path)(text).alias("ids"))
-    return ids.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                      decoder(spark, path)(F.col("ids")).alias("decoded"))
+    """doc_id, n_tokens, ids and the digest of the text decoded from them, for every row."""
+    run = digest(docs.sparkSession, path or vocabulary_path(), with_ids=True)
+    found = docs.select(docs["doc_id"].alias("doc_id"), run(whole_text(docs)).alias("d"))
+    return found.select("doc_id", "d.n_tokens", "d.ids", "d.decoded_sha256")

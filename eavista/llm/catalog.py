@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eavista.llm import (
-    bpe, exact_chunks, line_dedup, quality_qda, quality_rules, secret_scan, simhash_dedup, substring_dedup,
+    bpe, exact_chunks, line_dedup, mixing, quality_qda, quality_rules, secret_scan, simhash_dedup, substring_dedup,
     url_filter,
 )
 from eavista.llm.common import table
@@ -42,6 +42,56 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
 
 
+def _mixing_sql() -> str:
+    """The rounds of raking and scaling, one common table each."""
+    m = mixing
+    steps = [f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
+           len(regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+'))::BIGINT AS n_tokens
+    FROM documents
+),
+marked AS (
+    SELECT doc_id, source, lang, n_tokens,
+           CASE WHEN length(text) - length(replace(text, '|', '')) >= {m.TABLE_BARS} THEN 'table'
+                WHEN n_tokens < {m.NOTE_WORDS} THEN 'note' WHEN n_tokens < {m.ARTICLE_WORDS} THEN 'article' ELSE 'book' END AS topic
+    FROM docs
+),
+sums AS (SELECT source, lang, topic, sum(n_tokens) AS tokens FROM marked GROUP BY ALL HAVING sum(n_tokens) > 0),
+w0 AS (SELECT source, lang, topic, tokens / (SELECT sum(tokens) FROM sums) AS share, tokens / (SELECT sum(tokens) FROM sums) AS weight FROM sums)"""]
+    for margin in m.MARGINS:
+        steps.append(f"""
+own_{margin} AS (SELECT {margin} AS value, pow(sum(share), {m.POWER[margin]}) AS wanted FROM w0 GROUP BY ALL),
+target_{margin} AS MATERIALIZED (SELECT value, wanted / (SELECT sum(wanted) FROM own_{margin}) AS target FROM own_{margin})""")
+    at = 0
+    for margin in m.MARGINS * m.ROUNDS:
+        steps.append(f"""
+w{at + 1} AS MATERIALIZED (
+    SELECT source, lang, topic, share, weight * (target / sum(weight) OVER (PARTITION BY {margin})) AS weight
+    FROM w{at} JOIN target_{margin} ON {margin} = value
+)""")
+        at += 1
+    steps.append(f"\nscale0 AS (SELECT {m.KEEP}::DOUBLE AS scale)")
+    for k in range(m.SCALINGS):
+        full = f"weight / share * scale >= 1"
+        steps.append(f"""
+scale{k + 1} AS MATERIALIZED (
+    SELECT greatest(any_value(scale), coalesce(({m.KEEP} - coalesce(sum(share) FILTER ({full}), 0)) / nullif(sum(weight) FILTER (NOT ({full})), 0), any_value(scale))) AS scale
+    FROM w{at}, scale{k}
+)""")
+    steps.append(f"""
+cells AS (SELECT source, lang, topic, round(least(weight / share * scale, 1.0), {m.PLACES}) AS probability FROM w{at}, scale{m.SCALINGS})""")
+    return ",".join(steps) + f"""
+SELECT doc_id, source, lang, topic, n_tokens, coalesce(probability, 1.0) AS probability,
+       ('0x' || substr(md5(doc_id || ':{m.SEED}'), 1, 12))::BIGINT / {16**12}.0 < coalesce(probability, 1.0) AS selected
+FROM marked LEFT JOIN cells USING (source, lang, topic)"""
+
+
+@query("op4_source_mixing", _mixing_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 #: Word lists of the check SQL: the ASCII spaces are one separator.
 _WORDS = "list_filter(string_split_regex({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
