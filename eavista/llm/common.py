@@ -24,3 +24,13 @@ def sha256(text: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character unchanged."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def packed(df: DataFrame) -> Column:
+    """All columns as one struct, so that names of working columns can not clash with them."""
+    return F.struct(*[df[c] for c in df.columns]).alias("row")
+
+
+def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The packed columns again, some with a changed value."""
+    return df.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in columns])

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eavista.llm.common import sha256, whole_text
+from eavista.llm.common import packed, sha256, unpacked, whole_text
 from eavista.session import stage
 
 #: Distinct sites from which a line is boilerplate.
@@ -71,33 +71,35 @@ def _found(docs: DataFrame, site: str, sites: int) -> DataFrame:
 
 
 def _cleaned(docs: DataFrame, site: str, sites: int) -> DataFrame:
-    """``docs`` with the columns _lines, _removed (places) and _clean."""
-    found = _found(docs, site, sites)
-    text = whole_text(docs)
-    joined = docs.join(
-        found, docs["doc_id"].eqNullSafe(found["found_id"]) & (F.xxhash64(text) == found["found_text"]), "left"
-    ).withColumn("_lines", F.split(text, "\n"))
-    dropped = F.filter("_lines", lambda line, i: F.array_contains("found_places", i))
-    joined = joined.withColumn("_lost", F.char_length(F.array_join(dropped, "")))
-    few = F.col("found_places").isNotNull() & (100 * F.col("_lost") <= MAX_SHARE * F.char_length(text))
-    joined = joined.withColumn("_removed", F.when(few, F.size("found_places")).otherwise(0))
-    clean = F.array_join(F.filter("_lines", lambda line, i: ~F.array_contains("found_places", i)), "\n")
-    return joined.withColumn("_clean", F.when(few, clean).otherwise(text))
+    """doc_id, row (the packed columns), lines, n_removed and clean (the text that stays) for every row."""
+    rows = docs.select(
+        packed(docs), docs["doc_id"].alias("doc_id"), whole_text(docs).alias("text"), F.xxhash64(whole_text(docs)).alias("text_key")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_text"))
+    found = rows.join(_found(docs, site, sites), same, "left").withColumn("lines", F.split("text", "\n"))
+    dropped = F.filter("lines", lambda line, i: F.array_contains("found_places", i))
+    found = found.withColumn("lost", F.char_length(F.array_join(dropped, "")))
+    few = F.col("found_places").isNotNull() & (100 * F.col("lost") <= MAX_SHARE * F.char_length("text"))
+    kept = F.array_join(F.filter("lines", lambda line, i: ~F.array_contains("found_places", i)), "\n")
+    return found.select(
+        "doc_id", "row", "lines",
+        F.when(few, F.size("found_places")).otherwise(0).alias("n_removed"),
+        F.when(few, kept).otherwise(F.col("text")).alias("clean"),
+    )
 
 
 def deduplicated(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256 for every row."""
-    return _cleaned(docs, site, sites).select(
-        docs["doc_id"].alias("doc_id"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.col("_removed").cast("long").alias("n_removed"),
-        sha256(F.col("_clean")).alias("kept_sha256"),
+    return _cleaned(docs.select("doc_id", "text", site), site, sites).select(
+        "doc_id",
+        F.size("lines").cast("long").alias("n_lines"),
+        F.col("n_removed").cast("long").alias("n_removed"),
+        sha256(F.col("clean")).alias("kept_sha256"),
     )
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
     """The documents with boilerplate lines removed from ``text``, all other columns unchanged."""
     cleaned = _cleaned(docs, site, sites)
-    return cleaned.select(*[
-        F.col("_clean").alias("text") if c == "text" else docs[c] for c in docs.columns
-    ])
+    text = F.when((F.col("n_removed") == 0) & F.col("row.text").isNull(), F.lit(None)).otherwise(F.col("clean"))
+    return unpacked(cleaned, docs.columns, text=text)

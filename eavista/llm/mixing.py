@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eavista.llm.common import SPACES, whole_text
+from eavista.llm.common import SPACES, packed, unpacked, whole_text
 from eavista.session import stage
 
 #: Default targets: a margin's own shares to this power. Below one, small values gain.
@@ -51,13 +51,14 @@ def topic_of(text: Column, tokens: Column) -> Column:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """``docs`` with _source, _lang, _topic and _tokens."""
-    marked = docs.withColumn("_tokens", token_count(whole_text(docs)))
-    topic = docs["topic"].cast("string") if "topic" in docs.columns else topic_of(whole_text(docs), F.col("_tokens"))
-    return (
-        marked.withColumn("_topic", F.coalesce(topic, F.lit("")))
-        .withColumn("_source", F.coalesce(docs["source"].cast("string"), F.lit("")))
-        .withColumn("_lang", F.coalesce(docs["lang"].cast("string"), F.lit("")))
+    """row (the packed columns), doc_id, source, lang, topic and n_tokens of every row."""
+    text = whole_text(docs)
+    counted = docs.select(packed(docs), text.alias("text"), token_count(text).alias("n_tokens"))
+    topic = F.col("row.topic").cast("string") if "topic" in docs.columns else topic_of(F.col("text"), F.col("n_tokens"))
+    name = lambda c: F.coalesce(F.col(f"row.{c}").cast("string"), F.lit("")).alias(c)
+    return counted.select(
+        "row", F.col("row.doc_id").alias("doc_id"), name("source"), name("lang"),
+        F.coalesce(topic, F.lit("")).alias("topic"), "n_tokens",
     )
 
 
@@ -107,9 +108,7 @@ def probabilities(cells: DataFrame, keep: float = KEEP) -> DataFrame:
 
 def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
     """source, lang, topic, share, weight, probability: one row for each cell with tokens."""
-    cells = _marked(docs).groupBy(
-        F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")
-    ).agg(F.sum("_tokens").alias("tokens")).filter("tokens > 0")
+    cells = _marked(docs).groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).filter("tokens > 0")
     cells = stage(cells, "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     cells = cells.withColumn("share", F.col("tokens") / F.lit(float(total))).drop("tokens")
@@ -118,28 +117,25 @@ def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, kee
 
 
 def _with_choice(docs: DataFrame, targets: dict[str, DataFrame] | None, keep: float) -> DataFrame:
-    """``docs`` with the columns of ``_marked``, _probability and _selected."""
+    """``_marked`` with probability and selected."""
     cells = calibrated(docs, targets, keep).select(
-        *[F.col(m).alias(f"cell_{m}") for m in MARGINS], F.col("probability").alias("_found")
+        *[F.col(m).alias(f"cell_{m}") for m in MARGINS], F.col("probability").alias("found")
     )
-    same = [F.col(f"_{m}") == F.col(f"cell_{m}") for m in MARGINS]
+    same = [F.col(m) == F.col(f"cell_{m}") for m in MARGINS]
     joined = _marked(docs).join(cells, same[0] & same[1] & same[2], "left")
-    digest = F.md5(F.concat_ws(":", F.coalesce(docs["doc_id"].cast("string"), F.lit("null")), F.lit(SEED)).cast("binary"))
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(SEED)).cast("binary"))
     chance = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
-    return joined.withColumn("_probability", F.coalesce("_found", F.lit(1.0))).withColumn(
-        "_selected", chance < F.col("_probability")
+    return joined.withColumn("probability", F.coalesce("found", F.lit(1.0))).withColumn(
+        "selected", chance < F.col("probability")
     )
 
 
 def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, probability, selected for every row."""
-    return _with_choice(docs, targets, keep).select(
-        docs["doc_id"].alias("doc_id"), F.col("_source").alias("source"), F.col("_lang").alias("lang"),
-        F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
-        F.col("_probability").alias("probability"), F.col("_selected").alias("selected"),
-    )
+    chosen = _with_choice(docs, targets, keep)
+    return chosen.select("doc_id", *MARGINS, "n_tokens", "probability", "selected")
 
 
 def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
     """The selected documents, with all their columns."""
-    return _with_choice(docs, targets, keep).filter("_selected").select(*[docs[c] for c in docs.columns])
+    return unpacked(_with_choice(docs, targets, keep).filter("selected"), docs.columns)

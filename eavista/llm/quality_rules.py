@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eavista.llm.common import whole_text
+from eavista.llm.common import packed, unpacked, whole_text
 
 #: Fixed values of the base rules.
 MIN_WORDS, MAX_REPEAT, WINDOW = 20, 30, 8
@@ -140,6 +140,5 @@ def quality(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """The documents that pass, with failed lines removed from ``text`` and all other columns unchanged."""
-    marked = docs.withColumn("_quality_verdict", judged(whole_text(docs)))
-    cleaned = marked.filter("_quality_verdict.kept").withColumn("text", F.col("_quality_verdict.clean_text"))
-    return cleaned.select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.select(packed(docs), judged(whole_text(docs)).alias("q")).filter("q.kept")
+    return unpacked(marked, docs.columns, text=F.col("q.clean_text"))

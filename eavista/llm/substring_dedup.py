@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eavista.llm import bloom
-from eavista.llm.common import whole_text
+from eavista.llm.common import packed, unpacked, whole_text
 from eavista.llm.recompression import Anchors, anchors, window_names, word_names
 from eavista.session import stage
 
@@ -219,30 +219,30 @@ def _keeper(size: int, with_text: bool):
 
 
 def _cleaned(docs: DataFrame, size: int, with_text: bool) -> DataFrame:
-    """``docs`` with the column _kept, a struct of ``RESULT``."""
+    """doc_id, row (the packed columns) and kept (a struct of ``RESULT``) for every row."""
     spark = docs.sparkSession
-    repeats = repeated_windows(docs, size).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("starts").alias("_starts")
-    )
-    maybe = bloom.tester(spark, bloom.build(repeats, "_id", BLOCK_BITS))
+    repeats = repeated_windows(docs, size).withColumnsRenamed({"doc_id": "found_id", "text_key": "found_key"})
+    maybe = bloom.tester(spark, bloom.build(repeats, "found_id", BLOCK_BITS))
     key: Column = docs["doc_id"].cast("long")
-    marked = docs.withColumn("_text", whole_text(docs)).withColumn("_maybe", maybe(key))
-    touched = marked.filter("_maybe")
-    touched = touched.join(
-        repeats, (touched["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64("_text") == F.col("_key")), "left"
-    ).drop("_id", "_key")
-    both = touched.unionByName(marked.filter("NOT _maybe").withColumn("_starts", F.lit(None).cast("array<int>")))
-    return both.withColumn("_kept", _keeper(size, with_text)(F.col("_text"), F.col("_starts")))
+    text = whole_text(docs)
+    rows = docs.select(
+        packed(docs), docs["doc_id"].alias("doc_id"), key.alias("id"), text.alias("text"),
+        F.xxhash64(text).alias("text_key"), maybe(key).alias("maybe"),
+    )
+    same = (F.col("id") == F.col("found_id")) & (F.col("text_key") == F.col("found_key"))
+    touched = rows.filter("maybe").join(repeats, same, "left").drop("found_id", "found_key")
+    both = touched.unionByName(rows.filter("NOT maybe").withColumn("starts", F.lit(None).cast("array<int>")))
+    return both.select("doc_id", "row", _keeper(size, with_text)(F.col("text"), F.col("starts")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for every row."""
     found = _cleaned(docs.select("doc_id", "text"), size, False)
-    return found.select("doc_id", "_kept.n_words", "_kept.n_removed", "_kept.kept_sha256")
+    return found.select("doc_id", "kept.n_words", "kept.n_removed", "kept.kept_sha256")
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents with repeated windows removed from ``text`` (words joined by one space where any were)."""
     found = _cleaned(docs, size, True)
-    text = F.when(F.col("_kept.n_removed") > 0, F.col("_kept.kept_text")).otherwise(F.col("text"))
-    return found.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(F.col("kept.n_removed") > 0, F.col("kept.kept_text")).otherwise(F.col("row.text"))
+    return unpacked(found, docs.columns, text=text)
