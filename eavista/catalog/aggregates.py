@@ -8,34 +8,41 @@ from eavista import values
 from eavista.catalog.fixture import CONCEPT_IDS
 from eavista.catalog.registry import check
 from eavista.operators.filters import active
-from eavista.operators.obs import latest_marked_group, ordered_list
+from eavista.operators.obs import group_totals, latest_marked_group, ordered_list
 from eavista.plans import prescriptions
 
 
-@check("agg_sum_by_group", """
-SELECT o.value_drug, e.location_id, sum(q.value_numeric) AS quantity
-FROM fx_obs_base b JOIN fx_obs o ON o.obs_id = b.base_id * 10 + 6 JOIN fx_obs q ON q.obs_id = b.base_id * 10 + 1
-JOIN fx_encounter e ON e.encounter_id = o.encounter_id GROUP BY 1, 2
+_GIVEN_SQL = """FROM fx_obs o JOIN fx_obs q ON q.obs_group_id = o.obs_group_id AND q.concept_id = 101 AND q.voided = 0
+JOIN fx_encounter e ON e.encounter_id = o.encounter_id"""
+
+
+def _given(fx):
+    """Live drug observations with the quantity of their group and the encounter's place."""
+    obs = active(fx.obs)
+    totals = group_totals(obs.filter("concept_id = 101"), "quantity")
+    drugs = obs.filter("value_drug IS NOT NULL").select("obs_id", "obs_group_id", "encounter_id", "value_drug")
+    places = fx.encounter.select("encounter_id", "location_id")
+    return drugs.join(totals, "obs_group_id").join(places, "encounter_id")
+
+
+@check("agg_sum_by_group", f"""
+SELECT o.value_drug, e.location_id, CAST(sum(q.value_numeric) AS DOUBLE) AS quantity
+{_GIVEN_SQL} WHERE o.value_drug IS NOT NULL AND o.voided = 0 GROUP BY 1, 2
 """)
 def agg_sum_by_group(fx):
-    places = fx.encounter.select("encounter_id", "location_id")
-    rows = fx.obs_base.join(places, "encounter_id")
-    return rows.groupBy(F.col("l_partkey").alias("value_drug"), "location_id").agg(
-        F.sum("l_quantity").alias("quantity"))
+    return _given(fx).groupBy("value_drug", "location_id").agg(F.sum("quantity").cast("double").alias("quantity"))
 
 
-@check("agg_sum_any_value", """
-SELECT b.l_partkey AS drug_id, sum(b.l_quantity) AS quantity, min(l.name) AS clinic
-FROM fx_obs_base b JOIN fx_encounter e ON e.encounter_id = b.encounter_id
-LEFT JOIN fx_location l ON l.location_id = e.location_id GROUP BY 1
+@check("agg_sum_any_value", f"""
+SELECT o.value_drug AS drug_id, CAST(sum(q.value_numeric) AS DOUBLE) AS quantity, min(l.name) AS clinic
+{_GIVEN_SQL} LEFT JOIN fx_location l ON l.location_id = e.location_id
+WHERE o.value_drug IS NOT NULL AND o.voided = 0 GROUP BY 1
 """)
 def agg_sum_any_value(fx):
     """The non-grouped name is made explicit: the first one."""
-    places = fx.encounter.select("encounter_id", "location_id")
-    rows = fx.obs_base.join(places, "encounter_id").select("base_id", "l_partkey", "l_quantity", "location_id")
-    rows = fx.clinic.with_location(rows, "location_id", "_clinic", "base_id")
-    return rows.groupBy(F.col("l_partkey").alias("drug_id")).agg(
-        F.sum("l_quantity").alias("quantity"), F.min("_clinic").alias("clinic"))
+    rows = fx.clinic.with_location(_given(fx), "location_id", "_clinic", "obs_id")
+    return rows.groupBy(F.col("value_drug").alias("drug_id")).agg(
+        F.sum("quantity").cast("double").alias("quantity"), F.min("_clinic").alias("clinic"))
 
 
 @check("agg_max_label", """

@@ -72,17 +72,19 @@ _FULL_SQL = _FULL_OBS.replace("@ts", "TIMESTAMP").replace("{fx_obs}", "fx_obs")
 
 _MIGRATED_SQL = f"""WITH o AS ({_FULL_SQL}), top AS (SELECT max(obs_id) AS id FROM o),
 due AS (SELECT *, row_number() OVER (ORDER BY obs_id) AS n FROM o WHERE value_coded = 203 AND voided = 0)
-SELECT obs_id, encounter_id, concept_id, value_coded,
+SELECT obs_id, encounter_id, concept_id, value_coded, uuid,
   CASE WHEN value_coded = 203 AND voided = 0 THEN 1 ELSE voided END AS voided,
   CASE WHEN value_coded = 203 AND voided = 0 THEN '{_NOW}' END AS date_voided,
   CASE WHEN value_coded = 203 AND voided = 0 THEN '{values.RECODED_REASON}' END AS void_reason,
   CAST(NULL AS BIGINT) AS previous_version, status FROM o
-UNION ALL SELECT top.id + n, encounter_id, concept_id, 202, 0, NULL, NULL, obs_id, 'AMENDED' FROM due, top"""
+UNION ALL SELECT top.id + n, encounter_id, concept_id, 202,
+  regexp_replace(md5('amended ' || uuid), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5'),
+  0, NULL, NULL, obs_id, 'AMENDED' FROM due, top"""
 
 
 @check("dml_void_and_replace", _MIGRATED_SQL)
 def dml_void_and_replace(fx):
-    return migrate.recode_obs(fx.sql(_FULL_SPARK), 203, 202, _now()).drop("uuid")
+    return migrate.recode_obs(fx.sql(_FULL_SPARK), 203, 202, _now())
 
 
 _SUPERSEDED = """SELECT encounter_id FROM fx_version_encounter e WHERE e.voided = 0
@@ -118,7 +120,7 @@ def dml_guarded_run(fx):
 
     def run(table):
         mark = table.filter(F.col("void_reason") == values.RECODED_REASON)
-        return migrate.run_guarded(table, mark, migrate.recode_obs(table, 203, 202, _now()))
+        return migrate.run_guarded(table, mark, lambda due: migrate.recode_obs(due, 203, 202, _now()))
 
     first = run(obs)
     second = run(first)

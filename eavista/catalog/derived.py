@@ -53,14 +53,14 @@ _SCORES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.ANSWER_SCORES.items
 
 @check("calc_questionnaire_score", f"""
 SELECT person_id, strftime(obs_datetime, '%Y-%m-%d') AS day,
-  CAST(sum(CASE answer {_SCORES} END) AS BIGINT) AS score, count(CASE answer {_SCORES} END) AS answered
+  CAST(coalesce(sum(CASE answer {_SCORES} END), 0) AS BIGINT) AS score, count(CASE answer {_SCORES} END) AS answered
 FROM fx_screening GROUP BY 1, 2
 """)
 def calc_questionnaire_score(fx):
-    """Sum of the answered items per person and day; other texts do not count."""
+    """Sum of the answered items per person and day; other texts do not count, and no answer sums to 0."""
     score = clinical.answer_score(F.col("answer"))
     return fx.screening.groupBy("person_id", F.date_format("obs_datetime", "yyyy-MM-dd").alias("day")).agg(
-        F.sum(score).alias("score"), F.count(score).alias("answered"))
+        F.coalesce(F.sum(score), F.lit(0)).cast("bigint").alias("score"), F.count(score).alias("answered"))
 
 
 _LMP = cid("968")

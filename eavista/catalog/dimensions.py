@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from eavista import values
 from eavista.catalog.eav import NAMES
 from eavista.catalog.fixture import CONCEPT_IDS
-from eavista.catalog.registry import check
+from eavista.catalog.registry import ADDRESS_SQL, NAME_SQL, check
 from eavista.operators import lookups
 from eavista.operators.filters import active
 from eavista.operators.joins import left_lookup
@@ -68,14 +68,14 @@ def lk_encounter_type(fx):
 
 
 @check("lk_global_property", """
-SELECT concept_name_id, name FROM fx_concept_name WHERE locale = 'en' AND concept_id >= 10000
-UNION ALL SELECT concept_name_id, name FROM fx_concept_name WHERE locale = 'es' AND concept_id >= 10000
+SELECT concept_name_id, name FROM fx_concept_name WHERE locale = 'en'
+UNION ALL SELECT concept_name_id, name FROM fx_concept_name WHERE locale = 'es'
 """)
 def lk_global_property(fx):
     """A stored setting picks the first part, a missing one falls back to the default."""
     stored = fx.sql("SELECT 'default_locale' AS property, 'en' AS property_value FROM {region} "
                     "WHERE r_regionkey = 0")
-    names = fx.concept_name.filter("concept_id >= 10000")
+    names = fx.concept_name
     chosen = lookups.global_property(stored, "default_locale", values.DEFAULT_LOCALE)
     fallback = lookups.global_property(stored, "unset", values.DEFAULT_LOCALE)
     parts = [names.filter(F.col("locale") == wanted).select("concept_name_id", "name")
@@ -83,22 +83,16 @@ def lk_global_property(fx):
     return parts[0].unionByName(parts[1])
 
 
-_NAME = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY preferred DESC,
-  date_created DESC, person_name_id DESC) AS place FROM fx_person_name WHERE voided = 0) x WHERE place = 1"""
-_ADDRESS = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY preferred DESC,
-  date_created DESC, person_address_id DESC) AS place FROM fx_person_address WHERE voided = 0) x WHERE place = 1"""
-
-
 @check("lk_person", f"""
 SELECT p.person_id AS patient_id, p.gender, CAST(p.birthdate AS VARCHAR) AS birthdate, n.given_name, n.family_name
-FROM fx_person p LEFT JOIN ({_NAME}) n ON n.person_id = p.person_id WHERE p.voided = 0
+FROM fx_person p LEFT JOIN ({NAME_SQL}) n ON n.person_id = p.person_id WHERE p.voided = 0
 """)
 def lk_person(fx):
     return fx.clinic.people().join(fx.clinic.names(), "patient_id", "left")
 
 
 @check("lk_address", f"""
-SELECT person_id AS patient_id, county_district, city_village, address1 FROM ({_ADDRESS}) a
+SELECT person_id AS patient_id, county_district, city_village, address1 FROM ({ADDRESS_SQL}) a
 """)
 def lk_address(fx):
     return fx.clinic.addresses().select("patient_id", "county_district", "city_village", "address1")
@@ -127,7 +121,7 @@ def lk_identifier(fx):
 
 @check("lk_user_name", f"""
 SELECT u.user_id, trim(n.given_name || ' ' || n.family_name) AS entered_by
-FROM fx_users u JOIN ({_NAME}) n ON n.person_id = u.person_id
+FROM fx_users u JOIN ({NAME_SQL}) n ON n.person_id = u.person_id
 """)
 def lk_user_name(fx):
     return lookups.user_names(fx.users, fx.person_name, "entered_by")
@@ -178,8 +172,8 @@ SELECT p.person_id, p.gender, CAST(p.birthdate AS VARCHAR) AS birthdate, p.birth
   n.family_name, n.middle_name AS nick_name, a.person_address_id, a.country, a.state_province AS department,
   a.city_village AS commune, a.address3 AS section_communal, a.address1 AS locality,
   a.address2 AS street_landmark
-FROM fx_person p LEFT JOIN ({_NAME}) n ON n.person_id = p.person_id
-LEFT JOIN ({_ADDRESS}) a ON a.person_id = p.person_id WHERE p.voided = 0
+FROM fx_person p LEFT JOIN ({NAME_SQL}) n ON n.person_id = p.person_id
+LEFT JOIN ({ADDRESS_SQL}) a ON a.person_id = p.person_id WHERE p.voided = 0
 """)
 def view_current_name_address(fx):
     return lookups.current_name_address(fx.person, fx.person_name, fx.person_address)

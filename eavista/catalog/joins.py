@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eavista import values
 from eavista.catalog.fixture import CONCEPT_IDS
-from eavista.catalog.registry import check
+from eavista.catalog.registry import ADDRESS_SQL, check
 from eavista.operators import joins, lookups
 from eavista.operators.filters import active
 from eavista.operators.latest import number_rows
@@ -234,11 +234,11 @@ _RECORDS = """SELECT a.person_id, a.county_district, a.city_village,
   CASE WHEN a.person_id % 3 <> 0 THEN a.address2 END AS address2,
   CASE WHEN a.person_id % 4 <> 0 THEN 'madre ' || (a.person_id * 7 % 90) END AS mother_name,
   CASE WHEN a.person_id % 5 <> 0 THEN '963-' || (a.person_id % 700) END AS phone
-FROM {fx_person_address} a WHERE a.person_address_id % 2 = 0"""
+FROM {addresses} a"""
 
 
 @check("similar_record_score", f"""
-WITH r AS ({_RECORDS.replace('{fx_person_address}', 'fx_person_address')}),
+WITH r AS ({_RECORDS.replace('{addresses}', f'({ADDRESS_SQL})')}),
 pairs AS (SELECT a.person_id, b.person_id AS similar_id,
     CASE WHEN a.county_district = b.county_district THEN 1 ELSE 0 END
     + CASE WHEN a.city_village = b.city_village THEN 1 ELSE 0 END
@@ -252,7 +252,8 @@ SELECT person_id, similar_id, score, rank FROM ranked WHERE rank <= 5
 """)
 def similar_record_score(fx):
     """The five most similar other patients of every patient."""
-    return joins.similar_records(fx.sql(_RECORDS), "person_id", values.SIMILARITY_WEIGHTS, 5)
+    records = fx.spark.sql(_RECORDS, addresses=lookups.latest_addresses(fx.person_address))
+    return joins.similar_records(records, "person_id", values.SIMILARITY_WEIGHTS, 5)
 
 
 @check("first_match_per_group", """

@@ -11,6 +11,12 @@ from eavista.catalog.fixture import Fixture, check_sql
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: The current name and address of each person, for check SQL.
+NAME_SQL = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY preferred DESC,
+  date_created DESC, person_name_id DESC) AS place FROM fx_person_name WHERE voided = 0) x WHERE place = 1"""
+ADDRESS_SQL = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY preferred DESC,
+  date_created DESC, person_address_id DESC) AS place FROM fx_person_address WHERE voided = 0) x WHERE place = 1"""
+
 START, END = "1995-01-01", "2001-12-31"
 
 

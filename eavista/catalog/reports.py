@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from eavista import values
-from eavista.catalog.dimensions import _ADDRESS, _NAME
 from eavista.catalog.eav import MEDICATION_SQL, NAMES, RAPID_SQL, listed, measure_sql
 from eavista.catalog.fixture import cid
 from eavista.catalog.predicates import _facility_case
-from eavista.catalog.registry import END, START, check
+from eavista.catalog.registry import ADDRESS_SQL, END, NAME_SQL, START, check
 from eavista.catalog.scalars import bmi_sql, full_months_sql, full_years_sql, number_sql
 from eavista.plans import (
     diagnoses, drugs, history, note, prescriptions, registration, visits, vitals,
@@ -19,7 +18,7 @@ _PHONE = """SELECT person_id, value FROM (SELECT *, row_number() OVER (PARTITION
   ORDER BY date_created DESC, person_attribute_id DESC) AS place FROM fx_person_attribute
   WHERE voided = 0 AND person_attribute_type_id = 2) x WHERE place = 1"""
 _USER = f"""SELECT u.user_id, trim(n.given_name || ' ' || n.family_name) AS name FROM fx_users u
-  JOIN ({_NAME}) n ON n.person_id = u.person_id"""
+  JOIN ({NAME_SQL}) n ON n.person_id = u.person_id"""
 _PROVIDER = """SELECT f.encounter_id, p.name FROM (SELECT encounter_id, arg_min(provider_id, encounter_provider_id)
   AS provider_id FROM fx_encounter_provider WHERE voided = 0 GROUP BY encounter_id) f
   LEFT JOIN fx_provider p ON p.provider_id = f.provider_id"""
@@ -85,7 +84,7 @@ _PERSON_COLUMNS = f"""strftime(r.encounter_datetime, '%Y-%m-%d %H:%M:%S') AS "Fe
   n.given_name || ' ' || n.family_name AS "Nombre",
   round(date_diff('day', p.birthdate, CAST(r.encounter_datetime AS DATE)) / 365.25, 1) AS "Edad",
   p.gender AS "Genero", l.name AS "Clinica" """
-_PERSON_JOINS = f"""JOIN {_PERSON} p ON p.person_id = r.patient_id JOIN ({_NAME}) n ON n.person_id = r.patient_id
+_PERSON_JOINS = f"""JOIN {_PERSON} p ON p.person_id = r.patient_id JOIN ({NAME_SQL}) n ON n.person_id = r.patient_id
   LEFT JOIN fx_location l ON l.location_id = r.location_id"""
 
 
@@ -131,7 +130,7 @@ WITH e AS ({_COUNTED}), d AS ({_DX_ROWS}), r AS (SELECT e.patient_id, e.encounte
 SELECT {_PERSON_COLUMNS}, dn.name AS "Dx", dc.code AS "ICD-10", {_CONFIRMED_SQL} AS "Confirmado",
   CASE WHEN EXISTS (SELECT 1 FROM {_OBS} w WHERE w.person_id = r.person_id AND w.value_coded = r.value_coded
     AND w.date_created < r.date_created) THEN ' ' ELSE '1' END AS "1a vez", a.city_village AS "De donde es"
-FROM r {_PERSON_JOINS} LEFT JOIN ({_ADDRESS}) a ON a.person_id = r.patient_id {_DX_LABELS}
+FROM r {_PERSON_JOINS} LEFT JOIN ({ADDRESS_SQL}) a ON a.person_id = r.patient_id {_DX_LABELS}
 """)
 def report_epidemiology(fx):
     return visits.epidemiology(fx.clinic, START, END)
@@ -200,8 +199,8 @@ SELECT t.patient_id, trim(n.family_name) AS lastname, trim(split_part(trim(n.fam
 FROM t LEFT JOIN ({_REGISTERED}) r ON r.patient_id = t.patient_id LEFT JOIN g ON g.encounter_id = r.encounter_id
 LEFT JOIN (SELECT encounter_id, {listed(values.CIVIL_STATUS)} AS civil_status, {listed(values.OCCUPATION)} AS occupation
   FROM {_NAMED_OBS} o GROUP BY encounter_id) c ON c.encounter_id = r.encounter_id
-LEFT JOIN {_PERSON} p ON p.person_id = t.patient_id LEFT JOIN ({_NAME}) n ON n.person_id = t.patient_id
-LEFT JOIN ({_ADDRESS}) a ON a.person_id = t.patient_id LEFT JOIN ({_PHONE}) f ON f.person_id = t.patient_id
+LEFT JOIN {_PERSON} p ON p.person_id = t.patient_id LEFT JOIN ({NAME_SQL}) n ON n.person_id = t.patient_id
+LEFT JOIN ({ADDRESS_SQL}) a ON a.person_id = t.patient_id LEFT JOIN ({_PHONE}) f ON f.person_id = t.patient_id
 LEFT JOIN ({_CURP}) k ON k.patient_id = t.patient_id
 """)
 def report_front_sheet(fx):
@@ -269,8 +268,8 @@ WITH j AS (SELECT e.encounter_id, e.encounter_datetime, e.date_created, l.name A
   LEFT JOIN ({_VISIT_VITALS}) v ON v.visit_id = e.visit_id
   LEFT JOIN (SELECT encounter_id, {measure_sql(values.HISTORY_VITALS)} FROM {_OBS} o GROUP BY encounter_id) vm
     ON vm.encounter_id = v.encounter_id
-  LEFT JOIN {_PERSON} p ON p.person_id = e.patient_id LEFT JOIN ({_NAME}) n ON n.person_id = e.patient_id
-  LEFT JOIN ({_ADDRESS}) a ON a.person_id = e.patient_id LEFT JOIN ({_PHONE}) f ON f.person_id = e.patient_id
+  LEFT JOIN {_PERSON} p ON p.person_id = e.patient_id LEFT JOIN ({NAME_SQL}) n ON n.person_id = e.patient_id
+  LEFT JOIN ({ADDRESS_SQL}) a ON a.person_id = e.patient_id LEFT JOIN ({_PHONE}) f ON f.person_id = e.patient_id
   LEFT JOIN ({_PROVIDER}) k ON k.encounter_id = e.encounter_id
   LEFT JOIN fx_location l ON l.location_id = e.location_id
   WHERE e.voided = 0 AND e.encounter_type = 4 AND {_IN_RANGE.format('e.encounter_datetime')})
@@ -315,7 +314,7 @@ WITH j AS (SELECT row_number() OVER (ORDER BY e.encounter_datetime, e.encounter_
   LEFT JOIN (SELECT encounter_id, string_agg(display_name, ' ' ORDER BY obs_id) AS rapid_test_results
     FROM ({RAPID_SQL}) y GROUP BY encounter_id) t ON t.encounter_id = e.encounter_id
   LEFT JOIN ({_TREATMENT}) w ON w.encounter_id = e.encounter_id
-  LEFT JOIN {_PERSON} p ON p.person_id = e.patient_id LEFT JOIN ({_NAME}) n ON n.person_id = e.patient_id
+  LEFT JOIN {_PERSON} p ON p.person_id = e.patient_id LEFT JOIN ({NAME_SQL}) n ON n.person_id = e.patient_id
   LEFT JOIN ({_PROVIDER}) k ON k.encounter_id = e.encounter_id
   LEFT JOIN fx_location l ON l.location_id = e.location_id
   LEFT JOIN ({_REGISTERED}) r ON r.patient_id = e.patient_id LEFT JOIN fx_location rl ON rl.location_id = r.location_id
@@ -378,7 +377,7 @@ SELECT e.encounter_id, e.patient_id, {_day_text('e.encounter_datetime')} AS enco
   TRUE AS has_qualifying_prescription
 FROM ({_CONTROLLED_CONSULTS}) e LEFT JOIN d ON d.encounter_id = e.encounter_id
 LEFT JOIN g ON g.patient_id = e.patient_id LEFT JOIN ({_PROVIDER}) k ON k.encounter_id = e.encounter_id
-LEFT JOIN {_PERSON} p ON p.person_id = e.patient_id LEFT JOIN ({_NAME}) n ON n.person_id = e.patient_id
+LEFT JOIN {_PERSON} p ON p.person_id = e.patient_id LEFT JOIN ({NAME_SQL}) n ON n.person_id = e.patient_id
 """)
 def report_controlled_rx_encounters(fx):
     return prescriptions.controlled_encounters(fx.clinic, START, END)

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from eavista import values
 from eavista.catalog.fixture import cid
-from eavista.catalog.registry import check
+from eavista.catalog.registry import NAME_SQL, check
 from eavista.functions import ages, clinical, text
 from eavista.operators.filters import active
+from eavista.operators.lookups import latest_names
 from eavista.operators.obs import Measure, ordered_list, pivot_obs
 
 
@@ -140,13 +141,13 @@ def str_latin1_sanitize(fx):
         "doc_id", clean.alias("clean"), (clean != F.col("text")).alias("changed"))
 
 
-@check("str_sheet_name", """
+@check("str_sheet_name", f"""
 SELECT e.encounter_id, n.family_name || '-' || strftime(e.encounter_datetime, '%Y-%m-%d') || ' ' || e.encounter_id
   AS for_many, strftime(e.encounter_datetime, '%Y-%m-%d') || ' ' || e.encounter_id AS for_one
-FROM fx_encounter e JOIN fx_person_name n ON n.person_id = e.patient_id AND n.preferred = 1 AND n.person_name_id % 2 = 0
+FROM fx_encounter e JOIN ({NAME_SQL}) n ON n.person_id = e.patient_id
 """)
 def str_sheet_name(fx):
-    names = fx.person_name.filter("preferred = 1 AND person_name_id % 2 = 0")
+    names = latest_names(fx.person_name)
     rows = fx.encounter.select("encounter_id", "patient_id", "encounter_datetime").join(
         names.select(F.col("person_id").alias("patient_id"), "family_name"), "patient_id")
     day, number = F.col("encounter_datetime"), F.col("encounter_id")
@@ -154,7 +155,18 @@ def str_sheet_name(fx):
                        text.sheet_name(day, number).alias("for_one"))
 
 
-@check("str_wrap_words")
+@check("str_wrap_words", """
+WITH folded AS (
+  SELECT doc_id, list_reduce(string_split(text, ' '), lambda s, w: CASE
+      WHEN length(CASE WHEN s.line = '' THEN w.line ELSE s.line || ' ' || w.line END) <= 80
+      THEN {'done': s.done, 'line': CASE WHEN s.line = '' THEN w.line ELSE s.line || ' ' || w.line END, 'n': s.n}
+      ELSE {'done': CASE WHEN s.n = 0 THEN s.line ELSE s.done || chr(10) || s.line END, 'line': w.line, 'n': s.n + 1} END) AS s
+  FROM (SELECT doc_id, list_prepend({'done': '', 'line': '', 'n': 0},
+      list_transform(string_split(text, ' '), lambda w: {'done': '', 'line': w, 'n': 0})) AS text FROM documents)
+)
+SELECT doc_id, CAST(s.n + CASE WHEN s.line = '' THEN 0 ELSE 1 END AS INT) AS line_count,
+  CASE WHEN s.line = '' THEN s.done WHEN s.n = 0 THEN s.line ELSE s.done || chr(10) || s.line END AS wrapped FROM folded
+""".replace("list_reduce(string_split(text, ' '), ", "list_reduce(text, "))
 def str_wrap_words(fx):
     """Whole documents wrapped to 80 characters: number of lines and the text as lines."""
     lines = text.wrap_words(F.col("text"), 80)
@@ -262,7 +274,13 @@ def cond_if(fx):
     return fx.obs.select("obs_id", F.coalesce("value_text", high).alias("shown"), letter.alias("letter"))
 
 
-@check("gen_uuid_now")
+@check("gen_uuid_now", """
+SELECT count(*) AS encounters, count(*) AS uuids, count(*) AS well_formed, count(*) AS dated FROM fx_encounter
+""")
 def gen_uuid_now(fx):
-    """A fresh uuid and the current time per row."""
-    return fx.encounter.select("encounter_id", F.uuid().alias("uuid"), F.current_timestamp().alias("now"))
+    """A fresh uuid and the current time per row: how many there are, differ, have the form and a time of today."""
+    form = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    rows = fx.encounter.select("encounter_id", F.uuid().alias("uuid"), F.current_timestamp().alias("now"))
+    return rows.groupBy("uuid").agg(F.count("*").alias("n"), F.max("now").alias("now")).agg(
+        F.sum("n").alias("encounters"), F.count("*").alias("uuids"),
+        F.count_if(F.col("uuid").rlike(form)).alias("well_formed"), F.count("now").alias("dated"))

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from eavista import values
 from eavista.catalog.fixture import CONCEPT_IDS
-from eavista.catalog.registry import END, START, check
+from eavista.catalog.registry import END, NAME_SQL, START, check
 from eavista.functions import text
 from eavista.operators.filters import active
+from eavista.operators.lookups import latest_names
 from eavista.plans import prescriptions
 from eavista.plans.report import design_variants, nested
 from eavista.session import fresh_path
@@ -22,10 +23,8 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
 def scan_site_table(fx):
     """A site's extraction query over Parquet: the columns and the filter reach the scan."""
     site = fx.spark.read.parquet(f"{fx.sf_dir}/orders.parquet")
-    return site.filter("o_orderdate >= TIMESTAMP_NTZ '1997-01-01'").select(
-        F.col("o_orderkey").alias("encounter_id"), F.col("o_custkey").alias("patient_id"),
-        F.col("o_totalprice").alias("amount"),
-    )
+    columns = {"encounter_id": "o_orderkey", "patient_id": "o_custkey", "amount": "o_totalprice"}
+    return sites.extract(site, columns, F.expr("o_orderdate >= TIMESTAMP_NTZ '1997-01-01'"))
 
 
 @check("scan_declared_schema", """
@@ -275,14 +274,14 @@ def format_address_lines(fx):
     return address.select("person_address_id", first.alias("line_1"), second.alias("line_2"))
 
 
-@check("sink_csv_export", """
+@check("sink_csv_export", f"""
 SELECT CAST(e.encounter_id AS VARCHAR) AS encounter_id,
   strftime(e.encounter_datetime, '%d-%b-%Y %H:%M:%S') AS moment, n.family_name AS surname
-FROM fx_encounter e JOIN fx_person_name n ON n.person_id = e.patient_id AND n.person_name_id % 2 = 0
+FROM fx_encounter e JOIN ({NAME_SQL}) n ON n.person_id = e.patient_id
 """)
 def sink_csv_export(fx):
     """The export written in Latin-1, read back as text."""
-    names = fx.person_name.filter("person_name_id % 2 = 0")
+    names = latest_names(fx.person_name).select("person_id", "family_name")
     rows = fx.encounter.join(names, F.col("patient_id") == F.col("person_id")).select(
         "encounter_id", F.col("encounter_datetime").alias("moment"),
         F.concat("family_name", F.lit("—€")).alias("surname"),
@@ -299,20 +298,17 @@ def clean_blacklisted_chars(fx):
     return fx.table("documents").select("doc_id", text.without_blacklisted(F.col("text")).alias("clean"))
 
 
-_SHEETS = """SELECT e.encounter_id, n.family_name AS last_name, e.encounter_datetime
-FROM {fx_encounter} e JOIN {fx_person_name} n ON n.person_id = e.patient_id
-AND n.person_name_id % 2 = 0 WHERE e.voided = 0 AND e.encounter_type = 4"""
-
-
-@check("sink_per_sheet", """
+@check("sink_per_sheet", f"""
 SELECT e.encounter_id, n.family_name || '-' || strftime(e.encounter_datetime, '%Y-%m-%d') || ' '
   || e.encounter_id AS sheet_name
-FROM fx_encounter e JOIN fx_person_name n ON n.person_id = e.patient_id AND n.person_name_id % 2 = 0
+FROM fx_encounter e JOIN ({NAME_SQL}) n ON n.person_id = e.patient_id
 WHERE e.voided = 0 AND e.encounter_type = 4
 """)
 def sink_per_sheet(fx):
     """One sheet per history encounter, read back with the sheet names."""
-    rows = fx.sql(_SHEETS).withColumn(
+    names = latest_names(fx.person_name).select("person_id", F.col("family_name").alias("last_name"))
+    live = active(fx.encounter).filter("encounter_type = 4")
+    rows = live.join(names, F.col("patient_id") == F.col("person_id")).withColumn(
         "sheet_name",
         text.sheet_name(F.col("encounter_datetime"), F.col("encounter_id"), F.col("last_name")),
     )
@@ -386,16 +382,16 @@ def site_consolidation(fx):
 @check("sink_partition_overwrite", """
 SELECT location_id % 12 + 1 AS partition_num, count(*) AS encounters,
   CAST(sum(CASE WHEN location_id % 12 + 1 = 3 THEN -patient_id ELSE patient_id END) AS BIGINT) AS patients
-FROM fx_encounter WHERE location_id % 12 + 1 <> 3 OR encounter_id % 2 = 0 GROUP BY 1
+FROM fx_encounter WHERE location_id % 12 + 1 NOT IN (3, 4) OR location_id % 12 + 1 = 3 AND encounter_id % 2 = 0 GROUP BY 1
 """)
 def sink_partition_overwrite(fx):
-    """Load all sites, then load site 3 again with other rows: only its partition changes."""
+    """Load all sites, then sites 3 and 4 again: one with other rows, one with none. Only they change."""
     path = fresh_path(fx.spark, "warehouse")
     everything = _per_site(fx)
     sites.overwrite_partitions(sites.consolidate(everything), path)
     again = everything["honduras"].filter("encounter_id % 2 = 0").withColumn(
         "patient_id", -F.col("patient_id"))
-    sites.overwrite_partitions(sites.consolidate({"honduras": again}), path)
+    sites.overwrite_partitions(sites.consolidate({"honduras": again}), path, loaded=(3, 4))
     return fx.spark.read.parquet(path).groupBy("partition_num").agg(
         F.count("*").alias("encounters"), F.sum("patient_id").alias("patients"))
 

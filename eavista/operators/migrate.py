@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -54,6 +54,10 @@ def inconsistent_mappings(
     )
 
 
+#: What only a voided row has.
+_VOID_FIELDS = ("date_voided", "void_reason", "voided_by")
+
+
 def recode_obs(
     obs: DataFrame,
     old: int,
@@ -99,6 +103,7 @@ def recode_obs(
                 "obs_id": F.col("_new_id"),
                 "value_coded": F.lit(new).cast(obs.schema["value_coded"].dataType),
                 "voided": F.lit(0),
+                **{c: F.lit(None).cast(obs.schema[c].dataType) for c in _VOID_FIELDS if c in obs.columns},
                 "uuid": new_uuid,
                 "previous_version": F.col("obs_id"),
                 "status": F.lit(values.AMENDED),
@@ -128,12 +133,10 @@ def void_superseded_encounters(
 
 
 def run_guarded(
-    table: DataFrame, already_run: DataFrame, change: DataFrame
+    table: DataFrame, already_run: DataFrame, change: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """``change`` if ``already_run`` has no row, otherwise ``table`` unchanged.
+    """``change(table)`` if ``already_run`` has no row, otherwise ``table`` unchanged.
 
-    The test is part of the plan: a one-row count decides on both sides of a union, so only
-    one side yields rows.
+    The test reads one row at most, and comes first: a change that is not due does no work.
     """
-    ran = already_run.agg(F.count("*")).scalar()
-    return change.filter(ran == 0).unionByName(table.filter(ran > 0))
+    return change(table) if already_run.isEmpty() else table

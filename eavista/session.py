@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,21 +13,43 @@ from eavista.functions.text import quoted
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+#: Paths that the open ``scratch`` blocks have to remove, innermost last.
+_OWNED: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one only in local mode."""
+    """The shared folder named by the session, or else one below the warehouse, which executors share too."""
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="eavista-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path for a written table below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reads, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables staged inside the block and removes them at its end.
+
+    ``with scratch(spark): report(...).write.parquet(out)`` leaves nothing but ``out``. Without a
+    block, staged tables stay until the shared folder is cleaned.
+    """
+    _OWNED.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNED.pop():
+            remove(spark, path)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

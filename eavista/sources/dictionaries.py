@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eavista import values
+from eavista.session import checkpoint
 
 CONCEPT_COLUMNS = {
     "uuid": "uuid",
@@ -104,25 +105,21 @@ def set_closure(edges: DataFrame, parent: str, child: str, root: Column | None =
     """(root, member, depth, leaf): everything reachable from each set, or from one root.
 
     Sets may contain sets. A member reached on several ways counts once, at its smallest
-    depth; a set that contains itself does not loop.
+    depth; a set that contains itself does not loop. Each round follows the links of the pairs
+    that the round before found first, so the work is bounded by pairs and links, not by paths.
     """
-    spark = edges.sparkSession
-    links = edges.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct()
+    links = checkpoint(edges.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct())
     first = links if root is None else links.filter(F.col("parent") == root)
-    reached = spark.sql(
-        """
-        WITH RECURSIVE reach(root, member, depth, path) AS (
-            SELECT parent, child, 1, array(parent, child) FROM {first}
-            UNION ALL
-            SELECT r.root, l.child, r.depth + 1, array_append(r.path, l.child)
-            FROM reach r JOIN {links} l ON l.parent = r.member
-            WHERE NOT array_contains(r.path, l.child)
+    frontier = checkpoint(first.select(F.col("parent").alias("root"), F.col("child").alias("member"), F.lit(1).alias("depth")))
+    reached, depth = frontier, 1
+    while not frontier.isEmpty():
+        depth += 1
+        found = frontier.join(links, F.col("member") == F.col("parent")).select("root", F.col("child").alias("member"))
+        found = found.filter("member <> root").distinct()
+        frontier = checkpoint(
+            found.join(reached, ["root", "member"], "left_anti").withColumn("depth", F.lit(depth))
         )
-        SELECT root, member, min(depth) AS depth FROM reach GROUP BY root, member
-        """,
-        first=first,
-        links=links,
-    )
+        reached = reached.unionByName(frontier)
     sets = links.select(F.col("parent").alias("member"), F.lit(False).alias("_leaf")).distinct()
     return reached.join(sets, "member", "left").select(
         "root", "member", "depth", F.coalesce("_leaf", F.lit(True)).alias("leaf")

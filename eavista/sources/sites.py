@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eavista import values
 from eavista.operators.filters import active
+from eavista.session import remove
 
 ENCOUNTER_EXTRACT = T.StructType(
     [
@@ -52,10 +53,19 @@ def with_declared_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def extract(
+    table: DataFrame, columns: Mapping[str, str], where: Column | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """A site's extraction from any source, JDBC or files: rows, renamed columns, declared types."""
+    rows = table if where is None else table.filter(where)
+    rows = rows.select(*[F.col(source).alias(name) for name, source in columns.items()])
+    return rows if schema is None else with_declared_schema(rows, schema)
+
+
 def encounter_extract(encounter: DataFrame, rows: int | None = 10) -> DataFrame:
     """The smoke extraction: live encounters, the first ``rows`` by id (all when None)."""
-    live = active(encounter).select("patient_id", "encounter_id", "encounter_type")
-    live = with_declared_schema(live, ENCOUNTER_EXTRACT)
+    columns = {f.name: f.name for f in ENCOUNTER_EXTRACT}
+    live = extract(active(encounter), columns, schema=ENCOUNTER_EXTRACT)
     return live if rows is None else live.orderBy("encounter_id").limit(rows)
 
 
@@ -80,10 +90,13 @@ def range_partition(value: Column, last: int = values.LAST_PARTITION_BOUNDARY) -
     return F.least(F.greatest(value, F.lit(1)), F.lit(last + 1)).cast("int")
 
 
-def overwrite_partitions(df: DataFrame, path: str, column: str = "partition_num") -> None:
-    """Replace the partitions that occur in ``df``; the others stay as they are.
+def overwrite_partitions(
+    df: DataFrame, path: str, column: str = "partition_num", loaded: Sequence[int] = ()
+) -> None:
+    """Replace the partitions that occur in ``df`` and those in ``loaded``; the others stay as they are.
 
-    A site that yields no rows has no partition in ``df`` and keeps its old rows.
+    ``loaded`` names the partitions of all sites that were read, so that a site which yielded no
+    rows loses its old ones. Partitions of ``df`` that are looked up are no more than ``loaded``.
     """
     (
         df.write.mode("overwrite")
@@ -91,3 +104,7 @@ def overwrite_partitions(df: DataFrame, path: str, column: str = "partition_num"
         .partitionBy(column)
         .parquet(path)
     )
+    if loaded:
+        filled = {r[0] for r in df.filter(F.col(column).isin(*loaded)).select(column).distinct().collect()}
+        for number in set(loaded) - filled:
+            remove(df.sparkSession, f"{path}/{column}={number}")
