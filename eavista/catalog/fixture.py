@@ -212,6 +212,10 @@ SELECT b * 100 + slot AS obs_id, {case('group', 'BIGINT')} AS obs_group_id,
 FROM (SELECT *, @slots({first},{last}) AS slot FROM {{fx_lines}}) s {where}"""
 
 
+# The id of a line: 56 bits of a hash of its keys, so that ids neither collide nor overflow at any scale.
+SPARK_KEY = r"CAST(conv(substr(md5(concat_ws('-', \1)), 1, 14), 16, 10) AS BIGINT)"
+CHECK_KEY = r"CAST('0x' || substr(md5(concat_ws('-', \1)), 1, 14) AS BIGINT)"
+
 VIEWS: dict[str, str] = {
     "fx_patient": "SELECT c_custkey AS patient_id, CASE WHEN c_custkey % 97 = 5 THEN 1 ELSE 0 END "
     "AS voided FROM {customer}",
@@ -335,8 +339,7 @@ VIEWS: dict[str, str] = {
     f"UNION ALL SELECT c_custkey, {_I[values.OTHER]}, 'polen', 0 FROM {{customer}} "
     "WHERE c_custkey % 16 = 0",
     # seven plain observations per line item
-    "fx_obs_base": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey "
-    "AS base_id, l_orderkey * 8 + l_linenumber AS obs_group_id, l_orderkey AS encounter_id, "
+    "fx_obs_base": "SELECT @key(l_orderkey, l_linenumber, l_partkey, l_suppkey) AS base_id, l_orderkey * 8 + l_linenumber AS obs_group_id, l_orderkey AS encounter_id, "
     "o_custkey AS person_id, l_shipdate AS obs_datetime, "
     "CASE WHEN l_suppkey % 19 = 0 THEN 1 ELSE 0 END AS voided, l_quantity, l_extendedprice, "
     "l_returnflag, l_linestatus, l_shipdate, l_partkey, l_suppkey "
@@ -357,8 +360,7 @@ VIEWS: dict[str, str] = {
     "(203,'ICD-10-WHO','R05','tos'),(211,'LOCAL','CONFIRMED','Confirmado'),"
     "(212,'LOCAL','PRESUMED','Presunto')) AS t(concept_id, source, code, name)",
     # observations of all report concepts
-    "fx_lines": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey "
-    "AS b, l_partkey * 31 + l_suppkey * 17 + l_linenumber * 7 + l_orderkey AS h, l_orderkey, "
+    "fx_lines": "SELECT @key(l_orderkey, l_linenumber, l_partkey, l_suppkey) AS b, l_partkey * 31 + l_suppkey * 17 + l_linenumber * 7 + l_orderkey AS h, l_orderkey, "
     "o_custkey, l_quantity, l_shipdate, l_partkey, l_suppkey, l_linenumber, l_returnflag, "
     "l_linestatus FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey",
     **{name: _obs_sql(*span) for name, span in SLOT_GROUPS.items()},
@@ -431,6 +433,7 @@ class Fixture:
             return self.table(name)
         if name not in self._made:
             text = re.sub(r"@slots\((\d+),(\d+)\)", r"explode(sequence(\1, \2))", VIEWS[name])
+            text = re.sub(r"@key\(([^)]*)\)", SPARK_KEY, text)
             text = text.replace("@ts", "TIMESTAMP_NTZ")
             inputs = {n: self.view(n) for n in _inputs(text)}
             made = self.spark.sql(text, **inputs)
@@ -506,11 +509,18 @@ def check_sql(text: str) -> str:
                 need(VIEWS[name])
                 body = re.sub(r"@slots\((\d+),(\d+)\)",
                               lambda m: f"unnest(range({m[1]}, {int(m[2]) + 1}))", VIEWS[name])
+                body = re.sub(r"@key\(([^)]*)\)", CHECK_KEY, body)
                 body = re.sub(r"\{(\w+)\}", r"\1", body.replace("@ts", "TIMESTAMP"))
                 needed[name] = body
 
     need(text)
-    views = ",\n".join(f"{name} AS ({body})" for name, body in needed.items())
+    uses = " ".join([text, *needed.values()])
+
+    def kept(name: str) -> str:
+        """A view that is used more than once is computed once."""
+        return "MATERIALIZED " if len(re.findall(rf"\b{name}\b", uses)) > 1 else ""
+
+    views = ",\n".join(f"{name} AS {kept(name)}({body})" for name, body in needed.items())
     text = text.strip()
     if text.upper().startswith("WITH RECURSIVE"):
         return f"WITH RECURSIVE {views + ', ' if views else ''}{text[len('WITH RECURSIVE'):]}"

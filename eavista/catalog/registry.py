@@ -17,7 +17,8 @@ NAME_SQL = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person_id
 ADDRESS_SQL = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY preferred DESC,
   date_created DESC, person_address_id DESC) AS place FROM fx_person_address WHERE voided = 0) x WHERE place = 1"""
 
-START, END = "1995-01-01", "2001-12-31"
+#: Inside the range of the test tables: rows lie before, after and on both end days.
+START, END = "1996-03-15", "1999-06-20"
 
 
 def _comparable(df: DataFrame) -> DataFrame:

@@ -335,6 +335,7 @@ WITH o AS (SELECT * FROM fx_clinic_obs WHERE voided = 0),
 controlled AS (SELECT drug_id FROM fx_drug WHERE retired = 0 AND concept_id IN
   (SELECT concept_id FROM fx_concept_set WHERE concept_set = {CONCEPT_IDS[values.CONTROLLED_SET]})),
 consult AS (SELECT encounter_id FROM fx_encounter e WHERE voided = 0 AND encounter_type = 1
+  AND encounter_datetime >= DATE '{START}' AND encounter_datetime < DATE '{END}' + INTERVAL '1' DAY
   AND EXISTS (SELECT 1 FROM o WHERE o.encounter_id = e.encounter_id AND o.concept_id = {_MEDICATION}
               AND o.value_drug IN (SELECT drug_id FROM controlled))),
 line AS (SELECT p.encounter_id, p.obs_id, (SELECT arg_min(d.name, k.obs_id) FROM o k

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -66,6 +66,7 @@ class Dictionary:
     names: DataFrame
     local_source: str = "LOCAL"
     locale: str = values.DEFAULT_LOCALE
+    _known: dict[str, int | None] = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def split(self, code: str | int) -> tuple[str, str]:
         """``CIEL:21`` is a code of that source; a bare code belongs to the local source."""
@@ -96,6 +97,27 @@ class Dictionary:
         source, text = self.split(code)
         return source, text.lower()
 
+    def ids(self, codes: Iterable[str | int]) -> dict[str, int | None]:
+        """Concept id of each code, None for an unknown one.
+
+        Codes are read together and remembered, at most one row a code, so that plans hold plain
+        ids: filters on them reach the file scan and no dictionary table is joined.
+        """
+        new = [c for c in dict.fromkeys(map(str, codes)) if c not in self._known]
+        if new:
+            rows = self.resolve({code: code for code in new}).collect()
+            self._known.update(dict.fromkeys(new), **{r["role"]: r["concept_id"] for r in rows})
+        return {str(c): self._known[str(c)] for c in codes}
+
+    def ambiguous(self, codes: Mapping[str, str | int]) -> DataFrame:
+        """(role, concepts): roles whose code names several concepts, of which the smallest id counts."""
+        wanted = literal_table(
+            self.mapping.sparkSession, "role string, source string, code_key string",
+            [(role, *self._wanted(code)) for role, code in codes.items()],
+        )
+        found = self.mapping.withColumn("code_key", F.lower("code")).join(F.broadcast(wanted), ["source", "code_key"])
+        return found.groupBy("role").agg(F.count_distinct("concept_id").alias("concepts")).filter("concepts > 1")
+
     def unresolved(self, codes: Mapping[str, str | int]) -> DataFrame:
         """The roles whose code is not in the dictionary, for a warning table."""
         spark = self.mapping.sparkSession
@@ -133,19 +155,31 @@ class Dictionary:
 
     def with_role(self, df: DataFrame, column: str, codes: Mapping[str, str | int], name: str
                   ) -> DataFrame:
-        """Add the role of the coded ``column`` as ``name``; null for other concepts."""
-        roles = self.resolve(codes).select(
-            F.col("role").alias(name), F.col("concept_id").alias("_role_concept")
-        )
-        return df.join(roles, F.col(column) == F.col("_role_concept"), "left").drop("_role_concept")
+        """Add the role of the coded ``column`` as ``name``; null for other concepts.
+
+        A concept of several roles gives a row for each.
+        """
+        roles: dict[int, list[str]] = {}
+        found = self.ids(codes.values())
+        for role, code in codes.items():
+            if found[str(code)] is not None:
+                roles.setdefault(found[str(code)], []).append(role)
+        if any(len(r) > 1 for r in roles.values()):
+            rows = [(role, concept) for concept, own in roles.items() for role in own]
+            table = literal_table(df.sparkSession, "_role string, _concept int", rows)
+            joined = df.join(F.broadcast(table), F.col(column) == F.col("_concept"), "left")
+            return joined.withColumnRenamed("_role", name).drop("_concept")
+        chosen = F.lit(None).cast("string")
+        for concept, (role,) in roles.items():
+            chosen = F.when(F.col(column) == concept, role).otherwise(chosen)
+        return df.withColumn(name, chosen)
 
     def only_role(self, df: DataFrame, column: str, codes: Mapping[str, str | int], name: str
                   ) -> DataFrame:
         """Like ``with_role``, keeping only the rows whose concept has a role."""
-        roles = self.resolve(codes).select(
-            F.col("role").alias(name), F.col("concept_id").alias("_role_concept")
-        )
-        return df.join(roles, F.col(column) == F.col("_role_concept")).drop("_role_concept")
+        known = sorted({c for c in self.ids(codes.values()).values() if c is not None})
+        rows = df.filter(F.col(column).isin(*known)) if known else df.filter("false")
+        return self.with_role(rows, column, codes, name)
 
 
 def latest_names(person_name: DataFrame) -> DataFrame:
@@ -188,8 +222,9 @@ def full_name() -> Column:
 
 
 def user_names(users: DataFrame, person_name: DataFrame, name: str) -> DataFrame:
-    """(user_id, name) through the user's person."""
-    names = latest_names(person_name).select("person_id", full_name().alias(name))
+    """(user_id, name) through the user's person; only the names of users are ranked."""
+    own = person_name.join(users.select("person_id").distinct(), "person_id", "left_semi")
+    names = latest_names(own).select("person_id", full_name().alias(name))
     return users.select("user_id", "person_id").join(names, "person_id").select("user_id", name)
 
 

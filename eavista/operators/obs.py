@@ -31,11 +31,15 @@ VALUE_COLUMNS = {
     "coded": "value_coded",
     "drug_id": "value_drug",
     "comment": "comments",
-    "drug": "_drug",
-    "coded_name": "_name",
-    "coded_short_name": "_short",
     "coded_list": "_name",
 }
+#: Kinds shown by a name: the picked id's column, and the name's column in the dictionary.
+NAMED = {
+    "drug": ("value_drug", "name"),
+    "coded_name": ("value_coded", "name"),
+    "coded_short_name": ("value_coded", "short_name"),
+}
+_POSITIVE = (1 << 62) - 1
 
 
 # values of fixed width aggregate in place, in generated code; texts and lists do not
@@ -65,28 +69,44 @@ def measures(rows: Sequence[tuple], pick: str = "newest") -> list[Measure]:
     return [Measure(r[0], r[1], r[2], r[3] if len(r) > 3 else None, pick) for r in rows]
 
 
-def narrow_obs(obs: DataFrame, *keys: DataFrame, key: str = "encounter_id") -> DataFrame:
-    """Live observations of the selected encounters (or groups), each row once.
+def of_concepts(
+    obs: DataFrame, codes: Sequence[int | str], dictionary: Dictionary | None = None
+) -> DataFrame:
+    """Observations of the named concepts (ids or codes), by a filter that the file scan can use."""
+    known = [c for c in concept_ids(codes, dictionary).values() if c is not None]
+    return obs.filter(F.col("concept_id").isin(*known)) if known else obs.filter("false")
 
-    Several selections are joined in one pass over the observations.
-    """
-    wanted = reduce(DataFrame.unionByName, [k.select(key) for k in keys]).distinct()
-    return obs.filter("voided = 0").join(wanted, key, "left_semi")
+
+def concept_ids(codes: Sequence[int | str], dictionary: Dictionary | None) -> dict[int | str, int | None]:
+    """The concept id of each id (itself) or dictionary code."""
+    named = [c for c in dict.fromkeys(codes) if not isinstance(c, int)]
+    if named and dictionary is None:
+        raise ValueError("dictionary codes need a dictionary")
+    found = dictionary.ids(named) if named else {}
+    return {c: c if isinstance(c, int) else found[c] for c in dict.fromkeys(codes)}
 
 
-def staged_obs(
+def narrow_obs(
     obs: DataFrame,
-    name: str,
-    dictionary: Dictionary | None = None,
+    *keys: DataFrame,
+    key: str = "encounter_id",
     codes: Sequence[int | str] | None = None,
+    dictionary: Dictionary | None = None,
 ) -> DataFrame:
-    """Narrowed observations written once for a report that reads them several times.
+    """Live observations of the selected encounters (or groups), each row once.
 
-    With ``codes`` only observations of those concepts are kept.
+    Several selections are joined in one pass over the observations. With ``codes`` other
+    concepts are dropped first, at the scan, before any row is shuffled.
     """
+    wanted = reduce(DataFrame.unionByName, [k.select(key) for k in keys]).distinct()
+    rows = obs.filter("voided = 0")
     if codes is not None:
-        wanted = dictionary.resolve({str(c): c for c in codes}).select("concept_id")
-        obs = obs.join(wanted, "concept_id", "left_semi")
+        rows = of_concepts(rows, codes, dictionary)
+    return rows.join(wanted, key, "left_semi")
+
+
+def staged_obs(obs: DataFrame, name: str) -> DataFrame:
+    """Narrowed observations written once for a report that reads them several times."""
     return stage(obs.select(*[c for c in OBS_COLUMNS if c in obs.columns]), name)
 
 
@@ -96,26 +116,6 @@ def ordered_list(value: str, separator: str, *order: str, where: str | None = No
     return F.expr(f"listagg({value}, {quoted(separator)}) WITHIN GROUP (ORDER BY {', '.join(order)}){kept}")
 
 
-def _tagged(obs: DataFrame, column: str, concepts: Sequence[int | str], tag: str, how: str,
-            dictionary: Dictionary | None) -> DataFrame:
-    """Join the position of each wanted concept as ``tag``; the table has one row per concept."""
-    distinct = list(dict.fromkeys(concepts))
-    if all(isinstance(c, int) for c in distinct):
-        position = F.expr(f"CASE {column} " + " ".join(
-            f"WHEN {c} THEN {i}" for i, c in enumerate(distinct)) + " END")
-        tagged = obs.withColumn(tag, position)
-        if how == "inner":
-            tagged = tagged.filter(F.col(column).isin(*distinct))
-        return tagged
-    if dictionary is None:
-        raise ValueError("dictionary codes need a dictionary")
-    codes = {str(i): c for i, c in enumerate(distinct)}
-    found = dictionary.resolve(codes).select(
-        F.col("role").cast("int").alias(tag), F.col("concept_id").alias(f"{tag}_concept")
-    )
-    return obs.join(found, F.col(column) == F.col(f"{tag}_concept"), how).drop(f"{tag}_concept")
-
-
 def pivot_obs(
     obs: DataFrame,
     key: str | Sequence[str],
@@ -127,9 +127,10 @@ def pivot_obs(
     """One row per key with one column per measure.
 
     All columns come from a single aggregation, so the cost does not grow by a shuffle per
-    column. Observations of other concepts are dropped before the shuffle, and the partial
-    aggregation keeps one value per key, column and map task. The concept, answer, name and
-    drug tables are joined before it; Spark broadcasts them while they are small.
+    column. Observations of other concepts are dropped at the scan, and the partial aggregation
+    keeps one value per key, column and map task. Coded values and drugs are picked as ids; only
+    the picked ones are then given their names, so observations never meet the dictionary. Lists
+    need every name and are made apart, from the rows of their concepts.
 
     More than ``WIDE`` columns are made in two halves, numbers and texts: the numbers then
     stay in the hash aggregate, whose cost hardly grows with the columns, and the halves meet
@@ -138,54 +139,57 @@ def pivot_obs(
     keys = [key] if isinstance(key, str) else list(key)
     for k in keys:
         obs = obs.filter(F.col(k).isNotNull())
-    fixed = [m for m in wanted if m.kind in FIXED_WIDTH]
-    other = [m for m in wanted if m.kind not in FIXED_WIDTH]
-    if len(wanted) <= WIDE or not fixed or not other:
-        return _pivot(obs, keys, wanted, dictionary, names, drugs)
-    numbers = _pivot(obs, keys, fixed, dictionary, names, drugs)
-    texts = _pivot(obs, keys, other, dictionary, names, drugs)
-    return numbers.join(texts, keys, "full").select(*keys, *[m.column for m in wanted])
+    ids = concept_ids([m.concept for m in wanted] + [m.answer for m in wanted if m.answer is not None], dictionary)
+    lists = [m for m in wanted if m.kind == "coded_list"]
+    single = [m for m in wanted if m.kind != "coded_list"]
+    fixed = [m for m in single if m.kind in FIXED_WIDTH or m.kind in NAMED]
+    other = [m for m in single if not (m.kind in FIXED_WIDTH or m.kind in NAMED)]
+    parts = [fixed, other] if len(single) > WIDE else [single]
+    if lists or {m.kind for m in single} & {"coded_name", "coded_short_name"}:
+        names = dictionary.best_names() if names is None else names
+    made = [_pivot(obs, keys, part, ids) for part in parts if part]
+    if lists:
+        made.append(_pivot(_named_values(obs, lists, ids, names), keys, lists, ids))
+    joined = reduce(lambda a, b: a.join(b, keys, "full"), made)
+    for m in single:
+        if m.kind in NAMED:
+            joined = _translated(joined, m, keys, drugs if m.kind == "drug" else names)
+    return joined.select(*keys, *[m.column for m in wanted])
+
+
+def _named_values(
+    obs: DataFrame, lists: Sequence[Measure], ids: dict[int | str, int | None], names: DataFrame
+) -> DataFrame:
+    rows = of_concepts(obs, [ids[m.concept] for m in lists if ids[m.concept] is not None])
+    named = names.select(F.col("concept_id").alias("_named"), F.col("name").alias("_name"))
+    return left_lookup(rows, named, "value_coded", "_named", "obs_id")
+
+
+def _translated(rows: DataFrame, m: Measure, keys: list[str], table: DataFrame) -> DataFrame:
+    """The picked id of a measure replaced by its name."""
+    id_column, shown = ("drug_id", "name") if m.kind == "drug" else ("concept_id", NAMED[m.kind][1])
+    named = table.select(F.col(id_column).alias("_named"), F.col(shown).alias("_shown"))
+    found = left_lookup(rows, named, m.column, "_named", F.xxhash64(*keys).bitwiseAND(_POSITIVE))
+    return found.withColumn(m.column, F.col("_shown")).drop("_shown")
 
 
 def _pivot(
-    obs: DataFrame,
-    keys: list[str],
-    wanted: Sequence[Measure],
-    dictionary: Dictionary | None,
-    names: DataFrame | None,
-    drugs: DataFrame | None,
+    obs: DataFrame, keys: list[str], wanted: Sequence[Measure], ids: dict[int | str, int | None]
 ) -> DataFrame:
-    concepts = list(dict.fromkeys(m.concept for m in wanted))
-    answers = list(dict.fromkeys(m.answer for m in wanted if m.answer is not None))
-    kinds = {m.kind for m in wanted}
-
-    tagged = _tagged(obs, "concept_id", concepts, "_slot", "inner", dictionary)
-    if answers:
-        tagged = _tagged(tagged, "value_coded", answers, "_answer", "left", dictionary)
-    if kinds & {"coded_list", "coded_name", "coded_short_name"}:
-        if names is None:
-            names = dictionary.best_names()
-        named = names.select(
-            F.col("concept_id").alias("_named"), F.col("name").alias("_name"),
-            *([F.col("short_name").alias("_short")] if "coded_short_name" in kinds else []),
-        )
-        tagged = left_lookup(tagged, named, "value_coded", "_named", "obs_id")
-    if "drug" in kinds:
-        drug = drugs.select(F.col("drug_id").alias("_drug_id"), F.col("name").alias("_drug"))
-        tagged = left_lookup(tagged, drug, "value_drug", "_drug_id", "obs_id")
-
     def column(m: Measure) -> Column:
-        value = VALUE_COLUMNS[m.kind]
-        hit = f"_slot = {concepts.index(m.concept)}"
-        if m.answer is not None:
-            hit += f" AND _answer = {answers.index(m.answer)}"
+        value = NAMED[m.kind][0] if m.kind in NAMED else VALUE_COLUMNS[m.kind]
+        known = ids[m.concept] is not None and (m.answer is None or ids[m.answer] is not None)
+        hit = f"concept_id = {ids[m.concept]}" if known else "false"
+        if known and m.answer is not None:
+            hit += f" AND value_coded = {ids[m.answer]}"
         if m.kind == "coded_list":
             return ordered_list(value, m.separator, "obs_id", where=hit).alias(m.column)
         pick = "max_by" if m.pick == "newest" else "min_by"
         picked = F.expr(f"{pick}({value}, obs_id) FILTER (WHERE {hit} AND {value} IS NOT NULL)")
         return (picked.cast("date") if m.kind == "date" else picked).alias(m.column)
 
-    return tagged.groupBy(*keys).agg(*[column(m) for m in wanted])
+    rows = of_concepts(obs, [ids[m.concept] for m in wanted if ids[m.concept] is not None])
+    return rows.groupBy(*keys).agg(*[column(m) for m in wanted])
 
 
 def group_totals(obs: DataFrame, name: str) -> DataFrame:

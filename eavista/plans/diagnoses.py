@@ -8,7 +8,7 @@ from eavista import values
 from eavista.functions import ages
 from eavista.operators.filters import Day
 from eavista.operators.joins import left_lookup
-from eavista.operators.obs import Measure, pivot_obs, staged_obs
+from eavista.operators.obs import Measure, narrow_obs, pivot_obs, staged_obs
 from eavista.sources.clinic import Clinic
 
 
@@ -23,7 +23,8 @@ def diagnoses(clinic: Clinic, start: Day = None, end: Day = None) -> DataFrame:
     )
     codes = {"coded": values.DIAGNOSIS, "text": values.DIAGNOSIS_TEXT}
     parts = [*codes.values(), values.DIAGNOSIS_ORDER, values.DIAGNOSIS_CERTAINTY]
-    obs = staged_obs(clinic.active("obs"), "diagnoses", dictionary, parts)
+    # the members of an observation group belong to one encounter
+    obs = staged_obs(narrow_obs(clinic["obs"], encounters, codes=parts, dictionary=dictionary), "diagnoses")
     found = dictionary.only_role(obs, "concept_id", codes, "_role").select(
         "obs_id", "obs_group_id", "encounter_id", "date_created", "creator", "value_coded",
         "value_text",

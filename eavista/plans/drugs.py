@@ -19,7 +19,7 @@ def meds_stock(
     clinic: Clinic,
     start: Day,
     end: Day,
-    name_prefix: str = "",
+    name_prefix: str,
     include_voided: bool = False,
     all_numeric: bool = False,
 ) -> DataFrame:
@@ -41,7 +41,8 @@ def meds_stock(
         quantities = dictionary.only_role(
             quantities, "concept_id", {"quantity": values.DISPENSED_QUANTITY}, "_role"
         )
-    totals = group_totals(quantities, "_total")
+    groups = uses.select("obs_group_id").filter("obs_group_id IS NOT NULL").distinct()
+    totals = group_totals(quantities.join(groups, "obs_group_id", "left_semi"), "_total")
     used = (
         left_lookup(uses, totals.withColumnRenamed("obs_group_id", "_group"), "obs_group_id",
                     "_group", "obs_id")

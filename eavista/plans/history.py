@@ -81,7 +81,14 @@ def history(
     )
     latest = latest_vitals_in_visit(clinic, base)
     vitals = latest.select(F.col("vitals_encounter_id").alias("encounter_id"))
-    obs = staged_obs(narrow_obs(clinic["obs"], base, vitals), "history")
+    dictionary = clinic.dictionary
+    codes = [m[1] for table in (values.HISTORY_MEASURES, values.HISTORY_VITALS) for m in table]
+    codes += [values.PROCEDURE_DATE, values.PROCEDURE_COMMENT, values.PAP_SMEAR]
+    # a marker of an examination may be the answer of any concept
+    shown = [c for c in dictionary.ids(codes).values() if c is not None]
+    marks = [c for c in dictionary.ids([values.PAP_SMEAR, values.BREAST_EXAM]).values() if c is not None]
+    wanted = clinic["obs"].filter(F.col("concept_id").isin(*shown) | F.col("value_coded").isin(*marks))
+    obs = staged_obs(narrow_obs(wanted, base, vitals), "history")
     answers = pivot_obs(obs, "encounter_id", measures(values.HISTORY_MEASURES), clinic.dictionary)
     rows = base
     for table in (answers, _latest_exams(clinic, obs), clinic.providers()):

@@ -90,7 +90,7 @@ def clinical_note(
         registered.join(base, "patient_id", "left_semi").select(
             F.col("registration_encounter_id").alias("encounter_id")),
     )
-    obs = staged_obs(narrow_obs(clinic["obs"], *keys), "note", dictionary, codes)
+    obs = staged_obs(narrow_obs(clinic["obs"], *keys, codes=codes, dictionary=dictionary), "note")
 
     answers = pivot_obs(obs, "encounter_id", measures(values.NOTE_CONSULT), dictionary)
     tests = rapid_test_lines(obs, dictionary).groupBy("encounter_id").agg(

@@ -43,10 +43,8 @@ def controlled_consults(
     consults = clinic.encounters(values.CONSULT, start, end, patient_id).select(
         "encounter_id", "patient_id", "encounter_datetime"
     )
-    obs = staged_obs(
-        narrow_obs(clinic["obs"], consults), "prescriptions", dictionary,
-        [values.MEDICATION, *codes],
-    )
+    codes = [values.MEDICATION, *codes]
+    obs = staged_obs(narrow_obs(clinic["obs"], consults, codes=codes, dictionary=dictionary), "prescriptions")
     prescribed = dictionary.only_role(
         obs, "concept_id", {"medication": values.MEDICATION}, "_role"
     ).select("encounter_id", F.col("value_drug").alias("drug_id"))

@@ -42,7 +42,7 @@ def front_sheet(
     # the members of an observation group belong to one encounter, so one narrowed copy serves all
     keys = registered.select(F.col("registration_encounter_id").alias("encounter_id"))
     codes = [values.INSURANCE, values.POLICY_NUMBER, values.CIVIL_STATUS, values.OCCUPATION]
-    obs = staged_obs(narrow_obs(clinic["obs"], keys), "front-sheet", dictionary, codes)
+    obs = staged_obs(narrow_obs(clinic["obs"], keys, codes=codes, dictionary=dictionary), "front-sheet")
     insurance = obs
     if include_voided:
         insurance = clinic["obs"].join(keys, "encounter_id", "left_semi")

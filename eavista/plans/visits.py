@@ -9,7 +9,7 @@ from eavista.functions import ages
 from eavista.operators.filters import Day, active
 from eavista.operators.joins import left_lookup, with_earlier_visit_flag, with_first_time_flag
 from eavista.operators.latest import latest_per_key, newest
-from eavista.operators.obs import Measure, pivot_obs, staged_obs
+from eavista.operators.obs import Measure, narrow_obs, of_concepts, pivot_obs, staged_obs
 from eavista.sources.clinic import Clinic
 
 
@@ -26,12 +26,13 @@ def _with_person(clinic: Clinic, rows: DataFrame) -> DataFrame:
     return rows.join(people, "patient_id")
 
 
-def _insured(clinic: Clinic, obs: DataFrame) -> DataFrame:
-    """(patient_id, insured) from the newest insurance observation of each patient."""
+def _insured(clinic: Clinic, rows: DataFrame) -> DataFrame:
+    """(patient_id, insured) from the newest insurance observation of each patient in ``rows``."""
     dictionary = clinic.dictionary
-    rows = dictionary.only_role(
-        obs, "concept_id", {"insurance": values.INSURANCE}, "_role"
-    ).select("person_id", "obs_id", "date_created", "value_coded")
+    patients = rows.select(F.col("patient_id").alias("person_id")).distinct()
+    rows = of_concepts(clinic.active("obs"), [values.INSURANCE], dictionary).select(
+        "person_id", "obs_id", "date_created", "value_coded"
+    ).join(patients, "person_id", "left_semi")
     last = latest_per_key(rows, "person_id", *newest("date_created", "obs_id"))
     last = dictionary.with_role(last, "value_coded", {"popular": values.POPULAR_INSURANCE}, "_kind")
     return last.select(F.col("person_id").alias("patient_id"), F.col("_kind").alias("insured"))
@@ -64,7 +65,7 @@ def visits(clinic: Clinic, start: Day, end: Day, include_voided: bool = False) -
     """One row per visit: date, name, age, gender, insurance flag, first visit of the year."""
     rows = _per_visit(_live_visit(clinic, _countable_encounters(clinic, start, end, None)))
     rows = _with_person(clinic, rows)
-    rows = rows.join(_insured(clinic, clinic.active("obs")), "patient_id", "left")
+    rows = rows.join(_insured(clinic, rows), "patient_id", "left")
 
     all_visits = clinic["visit"]
     history = all_visits if include_voided else active(all_visits)
@@ -127,16 +128,22 @@ def _with_diagnosis_labels(clinic: Clinic, obs: DataFrame, rows: DataFrame) -> D
     return rows.withColumn("Confirmado", F.when(confirmed, "1").otherwise(" "))
 
 
+def _diagnosis_obs(clinic: Clinic, encounters: DataFrame) -> DataFrame:
+    """Diagnoses and their certainty in the encounters; a group's members belong to one encounter."""
+    codes = [values.DIAGNOSIS, values.DIAGNOSIS_CERTAINTY_ARCHIVE]
+    narrowed = narrow_obs(clinic["obs"], encounters, codes=codes, dictionary=clinic.dictionary)
+    return staged_obs(narrowed, "visit-diagnoses")
+
+
 def visit_diagnoses(clinic: Clinic, start: Day, end: Day) -> DataFrame:
     """One row per visit and coded diagnosis; a visit without diagnosis has one row."""
     encounters = _live_visit(clinic, _countable_encounters(clinic, start, end, None))
-    codes = [values.INSURANCE, values.DIAGNOSIS, values.DIAGNOSIS_CERTAINTY_ARCHIVE]
-    obs = staged_obs(clinic.active("obs"), "visit-diagnoses", clinic.dictionary, codes)
+    obs = _diagnosis_obs(clinic, encounters)
     coded = _coded_diagnoses(clinic, obs, encounters).select(
         "encounter_id", F.col("obs_id").alias("dx_obs_id"), "obs_group_id", "value_coded"
     )
     rows = _per_visit(encounters.join(coded, "encounter_id", "left"), "value_coded")
-    rows = _with_person(clinic, rows).join(_insured(clinic, obs), "patient_id", "left")
+    rows = _with_person(clinic, rows).join(_insured(clinic, rows), "patient_id", "left")
     rows = _with_diagnosis_labels(clinic, obs, rows)
     rows = clinic.with_location(rows, "location_id", "Clinica", "encounter_id")
     return rows.select(
@@ -155,11 +162,14 @@ def visit_diagnoses(clinic: Clinic, start: Day, end: Day) -> DataFrame:
 def epidemiology(clinic: Clinic, start: Day, end: Day, include_voided: bool = False) -> DataFrame:
     """One row per coded diagnosis in a consult, with a first-time flag."""
     encounters = _countable_encounters(clinic, start, end, values.CONSULT)
-    obs = clinic.active("obs")
+    obs = _diagnosis_obs(clinic, encounters)
     rows = _coded_diagnoses(clinic, obs, encounters).join(encounters, "encounter_id")
     history = clinic["obs"] if include_voided else clinic.active("obs")
+    pairs = rows.select("person_id", "value_coded").distinct()
     rows = with_first_time_flag(
-        rows, history.select("person_id", "value_coded", "date_created"),
+        rows,
+        history.select("person_id", "value_coded", "date_created")
+        .join(pairs, ["person_id", "value_coded"], "left_semi"),
         ["person_id", "value_coded"], "date_created", "_first",
     )
     towns = clinic.addresses().select("patient_id", F.col("city_village").alias("De donde es"))

@@ -18,9 +18,10 @@ def vitals(clinic: Clinic, start: Day, end: Day) -> DataFrame:
         .select("encounter_id", "patient_id", "visit_id", "encounter_datetime", "date_created",
                 "creator", "location_id")
     )
+    dictionary = clinic.dictionary
     measured = pivot_obs(
         narrow_obs(clinic["obs"], base), "encounter_id", measures(values.VITALS_MEASURES),
-        clinic.dictionary,
+        dictionary,
     )
     rows = base.join(measured, "encounter_id", "left")
     rows = clinic.with_user_name(rows, "creator", "entered_by", "encounter_id")

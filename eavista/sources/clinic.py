@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -39,7 +40,7 @@ class Clinic:
         """A table without its voided or retired rows."""
         return active(self.tables[name])
 
-    @property
+    @cached_property
     def dictionary(self) -> Dictionary:
         """Codes and names; the mapping may be one table or the raw map, term and source."""
         if "concept_mapping" in self.tables:
