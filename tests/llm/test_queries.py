@@ -1,4 +1,4 @@
-"""Registered queries on the test tables: against their SQL, or against plain Python."""
+"""Registered queries without SQL on the test tables, against plain Python. The others are in tests/test_catalog.py."""
 
 import hashlib
 import re
@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from eavista.llm import bpe, catalog, fingerprints
-from tests.compare import SF_DIR, compare
+from tests.compare import SF_DIR
 
 WORDS = re.compile(r"[^ \t-\r]+")
 
@@ -24,11 +24,6 @@ def rows_of(spark, name):
     return catalog.queries()[name](spark, SF_DIR).collect()
 
 
-@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
-def test_query_equals_its_sql(spark, engine, name):
-    assert compare(spark, engine, name) == []
-
-
 def test_bpe_equals_the_library(spark, texts):
     library = Tokenizer.from_file(bpe.vocabulary_path())
     for row in rows_of(spark, "op1_bpe_round_trip"):
