@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from eavista import values
 from eavista.catalog.eav import MEDICATION_SQL, NAMES, RAPID_SQL, listed, measure_sql
 from eavista.catalog.fixture import cid
 from eavista.catalog.predicates import _facility_case
 from eavista.catalog.registry import ADDRESS_SQL, END, NAME_SQL, START, check
 from eavista.catalog.scalars import bmi_sql, full_months_sql, full_years_sql, number_sql
+from eavista.operators.filters import active
 from eavista.plans import (
     diagnoses, drugs, history, note, prescriptions, registration, visits, vitals,
 )
@@ -45,6 +48,7 @@ def _day_text(x: str) -> str:
     return f"CAST({_day(x)} AS VARCHAR)"
 
 
+_PATIENT = "(SELECT min(patient_id) FROM fx_encounter WHERE voided = 0 AND encounter_type = {})"
 _IN_RANGE = f"CAST({{}} AS DATE) BETWEEN DATE '{START}' AND DATE '{END}'"
 
 
@@ -182,9 +186,9 @@ _REGISTERED = """SELECT * FROM (SELECT encounter_id, patient_id, encounter_datet
   WHERE voided = 0 AND encounter_type = 3) x WHERE place = 1"""
 
 
-@check("report_front_sheet", f"""
+_FRONT_SHEET = f"""
 WITH t AS (SELECT DISTINCT patient_id FROM fx_encounter WHERE voided = 0 AND encounter_type = 1
-  AND {_IN_RANGE.format('encounter_datetime')}), g AS (SELECT encounter_id, arg_max(obs_group_id, obs_id) AS id
+  AND @which), g AS (SELECT encounter_id, arg_max(obs_group_id, obs_id) AS id
   FROM {_OBS} o WHERE concept_id = {cid(values.INSURANCE)} AND value_coded = {cid(values.POPULAR_INSURANCE)}
   GROUP BY encounter_id)
 SELECT t.patient_id, trim(n.family_name) AS lastname, trim(split_part(trim(n.family_name), ' ', 1)) AS paternal_lastname,
@@ -202,7 +206,10 @@ LEFT JOIN (SELECT encounter_id, {listed(values.CIVIL_STATUS)} AS civil_status, {
 LEFT JOIN {_PERSON} p ON p.person_id = t.patient_id LEFT JOIN ({NAME_SQL}) n ON n.person_id = t.patient_id
 LEFT JOIN ({ADDRESS_SQL}) a ON a.person_id = t.patient_id LEFT JOIN ({_PHONE}) f ON f.person_id = t.patient_id
 LEFT JOIN ({_CURP}) k ON k.patient_id = t.patient_id
-""")
+"""
+
+
+@check("report_front_sheet", _FRONT_SHEET.replace("@which", _IN_RANGE.format('encounter_datetime')))
 def report_front_sheet(fx):
     return registration.front_sheet(fx.clinic, START, END)
 
@@ -256,7 +263,7 @@ _HISTORY_FINAL = {
 }
 
 
-@check("report_clinical_history", f"""
+_HISTORY = f"""
 WITH j AS (SELECT e.encounter_id, e.encounter_datetime, e.date_created, l.name AS location_name, n.family_name,
     n.given_name, p.birthdate, p.gender, a.address1, a.city_village, f.value AS telephone, k.name AS provider,
     m.* EXCLUDE (encounter_id), pap.* EXCLUDE (encounter_id), ex.* EXCLUDE (encounter_id), vm.* EXCLUDE (encounter_id)
@@ -272,9 +279,12 @@ WITH j AS (SELECT e.encounter_id, e.encounter_datetime, e.date_created, l.name A
   LEFT JOIN ({ADDRESS_SQL}) a ON a.person_id = e.patient_id LEFT JOIN ({_PHONE}) f ON f.person_id = e.patient_id
   LEFT JOIN ({_PROVIDER}) k ON k.encounter_id = e.encounter_id
   LEFT JOIN fx_location l ON l.location_id = e.location_id
-  WHERE e.voided = 0 AND e.encounter_type = 4 AND {_IN_RANGE.format('e.encounter_datetime')})
+  WHERE e.voided = 0 AND e.encounter_type = 4 AND @which)
 SELECT {', '.join(f'{_HISTORY_FINAL.get(c, c)} AS {c}' for c in values.HISTORY_COLUMNS)} FROM j
-""")
+"""
+
+
+@check("report_clinical_history", _HISTORY.replace("@which", _IN_RANGE.format('e.encounter_datetime')))
 def report_clinical_history(fx):
     return history.history(fx.clinic, START, END)
 
@@ -388,3 +398,66 @@ SELECT * FROM ({MEDICATION_SQL}) m WHERE encounter_id IN (SELECT encounter_id FR
 """)
 def report_controlled_rx_meds(fx):
     return prescriptions.controlled_meds(fx.clinic, START, END)
+
+
+# --- reports of one patient, and options of the original queries ---------------
+
+
+def _patient(fx, encounter_type: int) -> int:
+    """A patient with an encounter of the type; -1 where there is none."""
+    rows = active(fx.encounter).filter(F.col("encounter_type") == encounter_type)
+    return rows.agg(F.coalesce(F.min("patient_id"), F.lit(-1))).first()[0]
+
+
+@check("report_front_sheet_single_patient", _FRONT_SHEET.replace("@which", "patient_id = " + _PATIENT.format(1)))
+def report_front_sheet_single_patient(fx):
+    return registration.front_sheet(fx.clinic, patient_id=_patient(fx, 1))
+
+
+@check("report_clinical_history_single_patient", _HISTORY.replace("@which", "e.patient_id = " + _PATIENT.format(4)).replace(
+    _HISTORY_FINAL["sheet_name"], "strftime(encounter_datetime, '%Y-%m-%d') || ' ' || encounter_id"))
+def report_clinical_history_single_patient(fx):
+    """One patient's sheets are named without the surname."""
+    return history.history(fx.clinic, patient_id=_patient(fx, 4))
+
+
+_CONTROLLED_PATIENT = f"""(SELECT min(patient_id) FROM fx_encounter WHERE voided = 0 AND encounter_type = 1
+  AND encounter_id IN (SELECT encounter_id FROM {_OBS} o WHERE concept_id = {cid(values.MEDICATION)}
+    AND value_drug IN ({_CONTROLLED_DRUGS})))"""
+
+
+@check("report_controlled_rx_meds_single_patient", f"""
+SELECT * FROM ({MEDICATION_SQL}) m WHERE encounter_id IN (SELECT encounter_id FROM fx_encounter e WHERE voided = 0
+  AND encounter_type = 1 AND patient_id = {_CONTROLLED_PATIENT} AND encounter_id IN (SELECT encounter_id FROM {_OBS} o
+    WHERE concept_id = {cid(values.MEDICATION)} AND value_drug IN ({_CONTROLLED_DRUGS})))
+""")
+def report_controlled_rx_meds_single_patient(fx):
+    whole = prescriptions.controlled_encounters(fx.clinic, None, None)
+    patient = whole.agg(F.coalesce(F.min("patient_id"), F.lit(-1))).first()[0]
+    return prescriptions.controlled_meds(fx.clinic, None, None, patient_id=patient)
+
+
+@check("report_meds_stock_all_numeric", f"""
+SELECT d.name AS "Medicamento", CAST(sum(q.value_numeric) AS DOUBLE) AS "Cantidad", l.name AS "Clinica"
+FROM fx_drug d LEFT JOIN fx_clinic_obs n ON n.value_drug = d.drug_id AND {_IN_RANGE.format('n.obs_datetime')}
+LEFT JOIN fx_location l ON l.location_id = n.location_id
+LEFT JOIN fx_clinic_obs q ON q.obs_group_id = n.obs_group_id AND q.value_numeric IS NOT NULL
+WHERE d.name LIKE 'SITE%' AND d.retired = 0 GROUP BY d.drug_id, d.name, l.location_id, l.name
+""")
+def report_meds_stock_all_numeric(fx):
+    """As the original query: every numeric sibling counts, voided rows too."""
+    return drugs.meds_stock(fx.clinic, START, END, name_prefix="SITE", include_voided=True, all_numeric=True)
+
+
+@check("report_controlled_rx_meds_nested_sets", f"""
+WITH RECURSIVE inside(concept) AS (SELECT {cid(values.CONTROLLED_SET)} UNION
+  SELECT m.concept_id FROM fx_concept_set m JOIN inside i ON m.concept_set = i.concept)
+SELECT * FROM ({MEDICATION_SQL}) m WHERE encounter_id IN (SELECT encounter_id FROM fx_encounter e WHERE voided = 0
+  AND encounter_type = 1 AND {_IN_RANGE.format('encounter_datetime')} AND encounter_id IN (SELECT encounter_id FROM {_OBS} o
+    WHERE concept_id = {cid(values.MEDICATION)} AND value_drug IN (SELECT drug_id FROM fx_drug WHERE retired = 0
+      AND concept_id IN (SELECT concept FROM inside)))
+)
+""")
+def report_controlled_rx_meds_nested_sets(fx):
+    """Drugs of sets inside the controlled set count too."""
+    return prescriptions.controlled_meds(fx.clinic, START, END, nested_sets=True)
