@@ -9,18 +9,28 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+#: Copies of a small table whose few ids each stand in very many rows.
+FEW_IDS = 16
+
+
 def left_lookup(
-    df: DataFrame, table: DataFrame, key: str, table_key: str, spread: str | Column
+    df: DataFrame, table: DataFrame, key: str, table_key: str, spread: str | Column, salts: int = 1
 ) -> DataFrame:
     """Left join on an optional id, ``table`` having at most one row per id.
 
     Rows without an id cannot match. They get a key of their own below zero (ids are never
-    negative), made from ``spread``, so they do not all meet in one shuffle partition.
+    negative), made from ``spread``, so they do not all meet in one shuffle partition. With
+    ``salts`` the rows of one present id are dealt to so many parts, each with its copy of the
+    table: for small tables, such as places and users, of which few ids are used.
     """
     spread = F.col(spread) if isinstance(spread, str) else spread
     lonely = -F.abs(spread.cast("bigint")) - 1
     right = table.withColumnRenamed(table_key, "_lookup_key")
     on = F.coalesce(F.col(key).cast("bigint"), lonely) == F.col("_lookup_key")
+    if salts > 1:
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = on & (F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int") == F.col("_salt"))
+        return df.join(right, on, "left").drop("_lookup_key", "_salt")
     return df.join(right, on, "left").drop("_lookup_key")
 
 

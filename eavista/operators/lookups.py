@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eavista import values
 from eavista.operators.filters import active
+from eavista.operators.joins import FEW_IDS, left_lookup
 from eavista.operators.latest import latest_per_key, newest
 from eavista.session import literal_table
 
@@ -233,8 +234,8 @@ def encounter_providers(encounter_provider: DataFrame, provider: DataFrame, name
     first = latest_per_key(
         active(encounter_provider), "encounter_id", F.col("encounter_provider_id").asc()
     )
-    return first.join(provider.select("provider_id", F.col("name").alias(name)), "provider_id",
-                      "left").select("encounter_id", name)
+    people = provider.select(F.col("provider_id").alias("_provider"), F.col("name").alias(name))
+    return left_lookup(first, people, "provider_id", "_provider", "encounter_id", FEW_IDS).select("encounter_id", name)
 
 
 def global_property(properties: DataFrame, key: str, default: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eavista import values
 from eavista.operators import lookups
 from eavista.operators.filters import Day, active, patient_or_range
-from eavista.operators.joins import left_lookup
+from eavista.operators.joins import FEW_IDS, left_lookup
 from eavista.operators.lookups import Dictionary
 
 
@@ -118,11 +118,11 @@ class Clinic:
     def with_location(self, df: DataFrame, column: str, name: str, spread: str) -> DataFrame:
         places = self["location"].select("location_id", F.col("name").alias(name))
         return left_lookup(df, places.withColumnRenamed("location_id", "_place"), column, "_place",
-                           spread)
+                           spread, FEW_IDS)
 
     def with_user_name(self, df: DataFrame, column: str, name: str, spread: str) -> DataFrame:
         users = lookups.user_names(self["users"], self["person_name"], name)
-        return left_lookup(df, users, column, "user_id", spread)
+        return left_lookup(df, users, column, "user_id", spread, FEW_IDS)
 
     def providers(self, name: str = "provider") -> DataFrame:
         return lookups.encounter_providers(self["encounter_provider"], self["provider"], name)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eavista.catalog.fixture import SPARK_KEY, Fixture
-from eavista.operators import migrate, obs as obs_operators
+from eavista.operators import joins, migrate, obs as obs_operators
 from eavista.operators.lookups import Dictionary
 from eavista.plans import diagnoses, visits
 from eavista.session import checkpoint, scratch, shared_dir, stage
@@ -76,6 +76,20 @@ def test_one_day_stages_one_days_observations(spark, clinic, monkeypatch):
         assert rows.select("concept_id").distinct().count() <= 4
 
 
+def test_hot_id_is_dealt_to_many_tasks(spark, no_broadcast):
+    """Nine tenths of the rows name one id: no task holds more than a small multiple of the mean."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(20_000).select("id", F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id") % 50).alias("place"))
+        places = spark.range(50).select(F.col("id").alias("p"), F.concat(F.lit("n"), "id").alias("name"))
+        found = joins.left_lookup(rows, places, "place", "p", "id", joins.FEW_IDS)
+        sizes = [r[0] for r in found.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect()]
+        assert found.filter("name <> concat('n', place)").isEmpty() and sum(sizes) == 20_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(sizes) <= 4 * 20_000 / 8
+
+
 def test_scratch_leaves_nothing(spark):
     folder = Path(shared_dir(spark).removeprefix("file:"))
     with scratch(spark):
