@@ -26,7 +26,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eavista.llm.common import whole_text
+from eavista.llm.common import small_batches, whole_text
 
 VOCABULARY = "word_bpe_49k.json"
 CACHED_WORDS, CACHED_PAIRS = 200_000, 1_000_000
@@ -300,6 +300,7 @@ def digest(spark: SparkSession, path: str, with_ids: bool = False):
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded text for every row."""
+    small_batches(docs.sparkSession)
     run = digest(docs.sparkSession, path or vocabulary_path())
     found = docs.select(docs["doc_id"].alias("doc_id"), run(whole_text(docs)).alias("d"))
     return found.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
@@ -307,6 +308,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids and the digest of the text decoded from them, for every row."""
+    small_batches(docs.sparkSession)
     run = digest(docs.sparkSession, path or vocabulary_path(), with_ids=True)
     found = docs.select(docs["doc_id"].alias("doc_id"), run(whole_text(docs)).alias("d"))
     return found.select("doc_id", "d.n_tokens", "d.ids", "d.decoded_sha256")

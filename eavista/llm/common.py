@@ -17,6 +17,18 @@ def whole_text(df: DataFrame) -> Column:
     return F.coalesce(df["text"].cast("string"), F.lit(""))
 
 
+#: Rows sent to a Python worker at a time, which bounds its memory; a session's smaller value stays.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's batch size to ``BATCH_ROWS``: the default suits narrow rows, not whole texts."""
+    now = int(spark.conf.get(_BATCH_CONF, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eavista.llm.common import packed, unpacked, whole_text
+from eavista.llm.common import packed, small_batches, unpacked, whole_text
 
 #: Fixed values of the base rules.
 MIN_WORDS, MAX_REPEAT, WINDOW = 20, 30, 8
@@ -134,11 +134,13 @@ def judged(text: Column, with_text: bool = True) -> Column:
 
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id and the columns of ``SCHEMA`` but clean_text, for every row."""
+    small_batches(docs.sparkSession)
     found = docs.select(docs["doc_id"].alias("doc_id"), judged(whole_text(docs), False).alias("q"))
     return found.select("doc_id", "q.*").drop("clean_text")
 
 
 def clean(docs: DataFrame) -> DataFrame:
     """The documents that pass, with failed lines removed from ``text`` and all other columns unchanged."""
+    small_batches(docs.sparkSession)
     marked = docs.select(packed(docs), judged(whole_text(docs)).alias("q")).filter("q.kept")
     return unpacked(marked, docs.columns, text=F.col("q.clean_text"))

@@ -227,7 +227,7 @@ def test_masks_cover_every_small_difference():
             assert any(m & difference == 0 for m in masks)
 
 
-@pytest.mark.parametrize("size", [4, 512])
+@pytest.mark.parametrize("size", [40, 512])
 def test_links_connect_what_brute_force_connects(spark, size):
     rng = np.random.default_rng(5)
     centres = rng.integers(0, 2**63, 6, dtype=np.uint64)
