@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eavista.llm import bloom
-from eavista.llm.common import packed, unpacked, whole_text
+from eavista.llm.common import packed, small_batches, unpacked, whole_text
 from eavista.llm.recompression import Anchors, anchors, window_names, word_names
 from eavista.session import stage
 
@@ -41,7 +41,10 @@ BATCH_WORDS = 200_000
 BLOCK_BITS = 16
 #: In a list of window starts: the whole document.
 WHOLE = -1
-PARSED = "key_a long, key_b long, n_words int, anchors array<long>, direct array<struct<place:int,a:long,b:long>>"
+PARSED = (
+    "key_a long, key_b long, n_words int, anchors array<long>, "
+    "direct_place array<int>, direct_a array<long>, direct_b array<long>"
+)
 WINDOWS = "doc_id long, text_key long, place int, a long, b long"
 RESULT = "n_words long, n_removed long, kept_sha256 string, kept_text string"
 
@@ -99,17 +102,14 @@ def _parsed(documents: list[list[bytes]], size: int) -> pd.DataFrame:
     a, b = batch.windows(direct)
     at_anchor = np.searchsorted(found.doc, np.arange(len(documents) + 1))
     at_window = np.searchsorted(batch.doc[direct], np.arange(len(documents) + 1))
-    signed, place = found.name.view(np.int64), batch.place[direct]
+    signed, place = found.name.view(np.int64), batch.place[direct].astype(np.int32)
     rows = []
     for i, words in enumerate(documents):
         whole = xxhash.xxh3_128_digest(b" ".join(words))
         key_a, key_b = np.frombuffer(whole, np.int64).tolist()
         of, windows = slice(at_anchor[i], at_anchor[i + 1]), slice(at_window[i], at_window[i + 1])
-        rows.append((key_a, key_b, len(words), np.unique(signed[of]).tolist(), [
-            {"place": p, "a": x, "b": y}
-            for p, x, y in zip(place[windows].tolist(), a[windows].tolist(), b[windows].tolist())
-        ]))
-    return pd.DataFrame(rows, columns=["key_a", "key_b", "n_words", "anchors", "direct"])
+        rows.append((key_a, key_b, len(words), np.unique(signed[of]), place[windows], a[windows], b[windows]))
+    return pd.DataFrame(rows, columns=[field.split(" ")[0] for field in PARSED.split(", ")])
 
 
 def _parser(size: int):
@@ -160,6 +160,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, text_key, starts: where windows to be removed start; ``WHOLE`` for the whole document."""
     spark, texts = docs.sparkSession, _texts(docs)
+    small_batches(spark)
     parsed = stage(texts.select("doc_id", "text_key", _parser(size)(F.col("text")).alias("p")).select("doc_id", "text_key", "p.*"), "parsed")
     known = parsed.filter((F.col("n_words") >= size) & F.col("doc_id").isNotNull())
 
@@ -178,9 +179,10 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     maybe = bloom.tester(spark, bloom.build(lists, "doc_id", BLOCK_BITS))
     again = texts.filter(maybe(F.col("doc_id"))).join(lists, "doc_id")
-    direct = known.select("doc_id", "text_key", F.explode("direct").alias("w")).select(
-        "doc_id", "text_key", "w.place", "w.a", "w.b"
-    )
+    direct = known.select(
+        "doc_id", "text_key", F.explode(F.arrays_zip("direct_place", "direct_a", "direct_b")).alias("w")
+    ).select("doc_id", "text_key", F.col("w.direct_place").alias("place"), F.col("w.direct_a").alias("a"),
+             F.col("w.direct_b").alias("b"))
     windows = stage(_windows_of(again, size).unionByName(direct), "windows")
 
     sources = (
