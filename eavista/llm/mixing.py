@@ -25,7 +25,7 @@ from eavista.session import stage
 #: Default targets: a margin's own shares to this power. Below one, small values gain.
 POWER = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 MARGINS = tuple(POWER)
-ROUNDS, SCALINGS = 8, 6
+ROUNDS, SCALINGS = 5, 4
 #: Expected share of all tokens that is kept.
 KEEP = 0.9
 SEED = "mix-1"
@@ -62,8 +62,8 @@ def _marked(docs: DataFrame) -> DataFrame:
     )
 
 
-def _targets(cells: DataFrame, margin: str, given: DataFrame | None) -> DataFrame:
-    """value, target: shares that sum to one over the margin's values in ``cells``."""
+def _with_targets(cells: DataFrame, margin: str, given: DataFrame | None) -> DataFrame:
+    """``cells`` with target_<margin>: shares that sum to one over the margin's values."""
     own = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("share").alias("own"))
     if given is None:
         wanted = own.select("value", F.pow("own", F.lit(POWER[margin])).alias("wanted"))
@@ -72,21 +72,21 @@ def _targets(cells: DataFrame, margin: str, given: DataFrame | None) -> DataFram
             "value", F.coalesce("share", "own").alias("wanted")
         )
     total = wanted.agg(F.sum("wanted")).first()[0]
-    return wanted.select("value", (F.col("wanted") / F.lit(total or 1.0)).alias("target"))
+    target = wanted.select("value", (F.col("wanted") / F.lit(total or 1.0)).alias(f"target_{margin}"))
+    return cells.join(target, F.col(margin) == F.col("value")).drop("value")
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (the margins, share) with ``weight``: raked so that every margin meets its targets."""
+def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``cells`` (the margins and their targets, share) with ``weight``, raked so that every margin meets its targets."""
     raked = cells.withColumn("weight", F.col("share"))
     for _ in range(rounds):
         for margin in MARGINS:
-            sums = raked.groupBy(F.col(margin).alias("value")).agg(F.sum("weight").alias("sum"))
-            factor = sums.join(targets[margin], "value").select(
-                F.col("value").alias("_value"), (F.col("target") / F.col("sum")).alias("_factor")
+            factor = raked.groupBy(F.col(margin).alias("value")).agg(
+                (F.max(f"target_{margin}") / F.sum("weight")).alias("factor")
             )
-            raked = raked.join(factor, F.col(margin) == F.col("_value")).withColumn(
-                "weight", F.col("weight") * F.col("_factor")
-            ).drop("_value", "_factor")
+            raked = raked.join(factor, F.col(margin) == F.col("value")).withColumn(
+                "weight", F.col("weight") * F.col("factor")
+            ).drop("value", "factor")
         raked = stage(raked, "raked")
     return raked
 
@@ -112,8 +112,9 @@ def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, kee
     cells = stage(cells, "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     cells = cells.withColumn("share", F.col("tokens") / F.lit(float(total))).drop("tokens")
-    wanted = {m: stage(_targets(cells, m, (targets or {}).get(m)), "targets") for m in MARGINS}
-    return stage(probabilities(rake(cells, wanted), keep), "probabilities")
+    for margin in MARGINS:
+        cells = _with_targets(cells, margin, (targets or {}).get(margin))
+    return stage(probabilities(rake(stage(cells, "targets")), keep), "probabilities")
 
 
 def _with_choice(docs: DataFrame, targets: dict[str, DataFrame] | None, keep: float) -> DataFrame:
