@@ -246,6 +246,42 @@ def test_links_connect_what_brute_force_connects(spark, size):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
 
 
+def test_finer_masks_add_bits():
+    rng = random.Random(6)
+    for n in range(simhash_dedup.RADIUS + 1, 65):
+        places = rng.sample(range(64), n)
+        masks = simhash_dedup.covering_masks(sum(1 << p for p in places))
+        assert all(masks), n
+        for _ in range(300):
+            difference = sum(1 << p for p in rng.sample(places, simhash_dedup.RADIUS))
+            assert any(m & difference == 0 for m in masks)
+
+
+@pytest.mark.parametrize("size", [4, 512])
+def test_links_in_a_large_bucket_of_few_open_bits(spark, size):
+    full, found = simhash_dedup.FULL, []
+    for first in simhash_dedup.covering_masks(full):
+        for second in simhash_dedup.covering_masks(full & ~first):
+            assert second
+            if 10 <= 64 - (first | second).bit_count() <= 15:
+                found.append(full & ~(first | second))
+    places = [i for i in range(64) if found[0] >> i & 1]
+    # Over 512 in one bucket of both levels, and some far from them.
+    picked = random.Random(8).sample(range(1 << len(places)), 900)
+    near = [sum(1 << p for k, p in enumerate(places) if v >> k & 1) for v in picked]
+    values = np.array(sorted({*near, *(v ^ full for v in near[:100])}), np.uint64)
+    signed = values.view(np.int64).tolist()
+    rooted = components.components(simhash_dedup.links(spark.createDataFrame([(v,) for v in signed], "fp long"), size))
+    root = {r.node: r.root for r in rooted.collect()}
+    groups = {}
+    for v in signed:
+        groups.setdefault(root.get(v, v), set()).add(v)
+    wanted = {}
+    for v, c in zip(signed, components_by_force(values, signed)):
+        wanted.setdefault(c, set()).add(v)
+    assert len(near) > simhash_dedup.BUCKET and sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(64).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     rows = components.components(links).collect()
