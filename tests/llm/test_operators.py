@@ -282,6 +282,19 @@ def test_links_in_a_large_bucket_of_few_open_bits(spark, size):
     assert len(near) > simhash_dedup.BUCKET and sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+def test_large_buckets_are_dealt_to_parts(spark):
+    rows = spark.range(3000).select(F.col("id").alias("fp"), F.lit(~0xFFF).cast("long").alias("mask"))
+    rows = rows.unionByName(spark.createDataFrame([(1 << 40, ~0xFFF), ((1 << 40) + 1, ~0xFFF), (1 << 50, ~0xFFF)], rows.schema))
+    found = simhash_dedup._buckets(rows, 512)
+    plan = found._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Sort [fp" not in plan
+    members = found.toPandas()
+    parts = members[members.agreed == 0].groupby("part").fp.nunique()
+    assert len(parts) == 6 and parts.sum() == 3000 and parts.max() < 700
+    assert members[members.agreed == 0].large.all() and not members[members.agreed != 0].large.any()
+    assert sorted(members[members.agreed != 0].fp) == [1 << 40, (1 << 40) + 1]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(64).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     rows = components.components(links).collect()
