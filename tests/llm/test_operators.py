@@ -152,6 +152,50 @@ def test_raked_margins_meet_their_targets(spark, odd):
     assert sorted(chosen.collect()) == sorted(mixing.sample(docs, targets, keep=0.5).collect())
 
 
+def test_raking_of_sparse_cells_converges(spark):
+    rng = np.random.default_rng(1)
+    places = np.array([(s, l, t) for s in range(60) for l in range(8) for t in range(4) if rng.random() < 0.4])
+    share = rng.lognormal(0, 2, 60)[places[:, 0]] * rng.lognormal(0, 1.5, len(places))
+    share /= share.sum()
+    own = [np.bincount(places[:, m], share) for m in range(3)]
+    targets = [o**p / (o**p).sum() for o, p in zip(own, mixing.POWER.values())]
+    wanted = share.copy()
+    for _ in range(500):
+        for m in range(3):
+            wanted *= (targets[m] / np.bincount(places[:, m], wanted))[places[:, m]]
+    rows = [
+        (*(f"{n}" for n in p), float(share[i]), *(float(targets[m][p[m]]) for m in range(3)), float(wanted[i]))
+        for i, p in enumerate(places)
+    ]
+    kinds = [f"{m} string" for m in mixing.MARGINS] + ["share double"] + [f"target_{m} double" for m in mixing.MARGINS]
+    cells = spark.createDataFrame(rows, ", ".join([*kinds, "wanted double"]))
+    raked = mixing.rake(cells)
+    found = mixing.probabilities(raked, 0.9).toPandas()
+    assert set(raked.columns) == {*cells.columns, "weight"}
+    for margin in mixing.MARGINS:
+        by = found.groupby(margin)
+        assert (by.weight.sum() / by[f"target_{margin}"].max() - 1).abs().max() <= mixing.TOLERANCE
+    assert (found.weight / found.wanted - 1).abs().max() < 1e-4
+    assert abs((found.share * found.probability).sum() - 0.9) < 1e-8
+
+
+def test_targets_that_contradict_end_with_a_warning(spark):
+    rows = [("a", "x", "t", 0.5, 0.7, 0.4, 1.0), ("b", "y", "t", 0.5, 0.3, 0.6, 1.0)]
+    kinds = "source string, lang string, topic string, share double, target_source double, target_lang double, target_topic double"
+    with pytest.warns(UserWarning, match="can not all be met"):
+        raked = mixing.rake(spark.createDataFrame(rows, kinds)).collect()
+    assert {r.source: round(r.weight, 6) for r in raked} == {"a": 0.4, "b": 0.6}
+
+
+def test_scale_meets_the_share_to_keep(spark):
+    rows = [(2.0**-k, 2.0**-k * 3.0**k) for k in range(1, 20)]
+    total, weights = sum(a for a, _ in rows), sum(b for _, b in rows)
+    cells = spark.createDataFrame([(a / total, b / weights) for a, b in rows], "share double, weight double")
+    for keep in (0.5, 0.9, 0.999):
+        found = mixing.probabilities(cells, keep).toPandas()
+        assert abs((found.share * found.probability).sum() - keep) < 1e-8
+
+
 def test_lines_near_the_threshold_are_counted_exactly(spark):
     lines = {f"line with spread {n} here": n for n in (1, 3, 4, 5, 6, 7, 30)}
     rows = [
