@@ -352,6 +352,15 @@ def test_one_document_of_each_near_duplicate_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [5, 99]
 
 
+def test_repeated_ids_leave_one_row_of_each_group(spark):
+    base, other = unlike(1, 400), unlike(2, 400)
+    rows = [(5, base + " end1", "en", "s", 0), (5, base + " end2", "en", "s", 0), (5, base + " end2", "en", "s", 0)]
+    rows += [(6, base + " end3", "en", "s", 0), (1, other, "en", "s", 0), (5, other + " end", "en", "s", 0)]
+    rows += [(None, unlike(3, 400), "en", "s", 0), (None, unlike(4, 400), "en", "s", 0)]
+    kept = simhash_dedup.drop_near_duplicates(spark.createDataFrame(rows, COLUMNS)).collect()
+    assert sorted((r.doc_id or 0, r.text.split()[0]) for r in kept) == [(0, "w3x0"), (0, "w4x0"), (1, "w2x0"), (5, "w1x0")]
+
+
 def texts_of(rows):
     return {r[0]: r[1] or "" for r in rows}
 
