@@ -169,16 +169,16 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         firsts.filter("first_id < last_id"), ["key_a", "key_b"]
     ).filter("doc_id > first_id").select("doc_id", "text_key")
 
-    named = known.select("doc_id", "key_a", F.explode("anchors").alias("name"))
+    named = known.select("doc_id", "text_key", "key_a", F.explode("anchors").alias("name"))
     shared = (
         named.groupBy("name").agg(F.min("key_a").alias("low"), F.max("key_a").alias("high"))
         .filter("low < high").select("name")
     )
-    lists = named.join(shared, "name", "left_semi").groupBy("doc_id").agg(F.collect_set("name").alias("shared"))
-    lists = stage(lists.join(copied.select("doc_id").distinct(), "doc_id", "left_anti"), "shared_anchors")
+    lists = named.join(shared, "name", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("name").alias("shared"))
+    lists = stage(lists.join(copied.distinct(), ["doc_id", "text_key"], "left_anti"), "shared_anchors")
 
     maybe = bloom.tester(spark, bloom.build(lists, "doc_id", BLOCK_BITS))
-    again = texts.filter(maybe(F.col("doc_id"))).join(lists, "doc_id")
+    again = texts.filter(maybe(F.col("doc_id"))).join(lists, ["doc_id", "text_key"])
     direct = known.select(
         "doc_id", "text_key", F.explode(F.arrays_zip("direct_place", "direct_a", "direct_b")).alias("w")
     ).select("doc_id", "text_key", F.col("w.direct_place").alias("place"), F.col("w.direct_a").alias("a"),

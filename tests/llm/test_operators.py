@@ -390,6 +390,15 @@ def test_substrings_of_odd_rows(odd, spark):
     assert {k: found[k] for k in wanted} == wanted
 
 
+def test_own_text_of_an_id_with_a_copied_text(spark):
+    copied, shared = unlike(1, 200), unlike(2, 120)
+    rows = [(1, copied), (2, shared + " " + unlike(3, 60)), (5, copied), (5, unlike(4, 60) + " " + shared), (9, copied)]
+    found = substring_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in found) == [
+        (1, 200, 0), (2, 180, 0), (5, 180, 120), (5, 200, 200), (9, 200, 200)
+    ]
+
+
 def test_anchors_depend_on_their_context_only():
     rng = random.Random(4)
     words = [f"v{rng.randint(0, 30)}".encode() for _ in range(4000)]
