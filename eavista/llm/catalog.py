@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eavista.llm import (
-    bpe, exact_chunks, line_dedup, mixing, quality_qda, quality_rules, secret_scan, simhash_dedup, substring_dedup,
+    bpe, conversation_repair, exact_chunks, line_dedup, mixing, quality_qda, quality_rules, secret_scan, simhash_dedup, substring_dedup,
     url_filter,
 )
 from eavista.llm.common import table
@@ -238,6 +238,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_chunks.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repairs(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
