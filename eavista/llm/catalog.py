@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eavista.llm import (
-    bpe, conversation_repair, exact_chunks, line_dedup, mixing, quality_qda, quality_rules, secret_scan, simhash_dedup, substring_dedup,
-    url_filter,
+    bpe, centroids, conversation_repair, exact_chunks, line_dedup, mixing, quality_qda, quality_rules, secret_scan, simhash_dedup, substring_dedup,
+    toxicity, url_filter,
 )
 from eavista.llm.common import table
 
@@ -238,6 +238,52 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_chunks.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _lloyd_sql() -> str:
+    """Assignments and new centroids, one common table each."""
+    m = centroids
+    steps = [f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda v: floor({m.SCALE} * v::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE len(embedding) = {m.DIMENSIONS} AND len(list_filter(embedding, lambda v: isfinite(v))) = {m.DIMENSIONS}
+),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256(concat('{m.SEED}:', coalesce(vec_id::VARCHAR, 'null'))), x) - 1 AS cluster, x AS c
+    FROM kept ORDER BY cluster LIMIT {m.CLUSTERS}
+)"""]
+    for k in range(m.ROUNDS + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+    SELECT row_id, vec_id, x, cluster, distance FROM (
+        SELECT row_id, vec_id, x, cluster, list_sum(list_transform(range(1, {m.DIMENSIONS + 1}), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS distance
+        FROM kept, c{k}
+    ) QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY distance, cluster) = 1
+)""")
+        if k < m.ROUNDS:
+            steps.append(f"""
+m{k} AS (
+    SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY i) AS mean
+    FROM (SELECT cluster, i, sum(v)::BIGINT AS total, count(*) AS n
+          FROM (SELECT cluster, unnest(x) AS v, unnest(range({m.DIMENSIONS})) AS i FROM a{k}) GROUP BY cluster, i)
+    GROUP BY cluster
+),
+c{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(mean, c) AS c FROM c{k} LEFT JOIN m{k} USING (cluster))""")
+    return ",".join(steps) + f"""
+SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{m.ROUNDS} JOIN c{m.ROUNDS} USING (cluster)"""
+
+
+@query("op12_centroid_clusters", _lloyd_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 @query("op13_conversation_repair")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repairs(table(spark, sf_dir, "conversations"))
