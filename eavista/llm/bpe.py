@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eavista.llm.common import small_batches, whole_text
 
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS, CACHED_PAIRS = 200_000, 1_000_000
+CACHED_WORDS, CACHED_PAIRS = 400_000, 1_000_000
 #: The file's split pattern, with white space spelled out.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\p{{White_Space}}{L}{N}]+"
 PIECES = regex.compile(SPLIT.format(L=r"\p{L}", N=r"\p{N}"))
@@ -82,6 +83,20 @@ _OLDER_PIECES = regex.compile(
 )
 
 
+def _latin_class(kind: str) -> str:
+    """The characters below U+0250 whose general category begins with a letter, as the inside of a class."""
+    return "".join(re.escape(chr(i)) for i in range(0x250) if unicodedata.category(chr(i))[0] == kind)
+
+
+#: The same pattern for texts below U+0250, by the faster module: its alternatives begin differently, so their
+#: order is free.
+_LATIN_PIECES = re.compile(
+    "[{L}]+|[{N}]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r \x85\xa0{L}{N}]+".format(L=_latin_class("L"), N=_latin_class("N"))
+)
+_ASCII_PIECES = re.compile("[a-zA-Z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r a-zA-Z0-9]+")
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+
+
 def lowered(text: str) -> str:
     """The normalised text; letter by letter, so a last sigma is no exception."""
     text = unicodedata.normalize("NFC", text)
@@ -94,7 +109,34 @@ def lowered(text: str) -> str:
 
 def pieces(text: str) -> list[str]:
     """The words of a text in lower case, by the file's split pattern."""
-    return (_OLDER_PIECES if not text.isascii() and _NEWER.search(text) else PIECES).findall(text)
+    if text.isascii():
+        return _ASCII_PIECES.findall(text)
+    if not _BEYOND_LATIN.search(text):
+        return _LATIN_PIECES.findall(text)
+    return (_OLDER_PIECES if _NEWER.search(text) else PIECES).findall(text)
+
+
+class OffsetTable:
+    """Texts of all tokens in one array, each with a space behind it, and where they begin."""
+
+    def __init__(self, texts: Iterable[str]):
+        encoded = [t.encode() + b" " for t in texts]
+        self.blob = np.frombuffer(b"".join(encoded), np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in encoded])])
+        self.sizes = np.diff(self.offsets)
+
+    def slices(self, ids: np.ndarray) -> Iterator[bytes]:
+        """The texts of the tokens joined by spaces, in parts of bounded size."""
+        for at in range(0, len(ids), 1 << 16):
+            chosen = ids[at : at + (1 << 16)]
+            size = self.sizes[chosen]
+            ends = np.cumsum(size)
+            places = np.arange(ends[-1]) + np.repeat(self.offsets[chosen] - (ends - size), size)
+            part = self.blob[places].tobytes()
+            yield part if at + (1 << 16) < len(ids) else part[:-1]
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        return b"".join(self.slices(ids))
 
 
 class Vocabulary:
@@ -150,10 +192,8 @@ class Codec:
         texts = [""] * size
         for text, token in [*ids.items(), *vocabulary.specials.items()]:
             texts[token] = text
-        encoded = [t.encode() + b" " for t in texts]
-        self.blob = np.frombuffer(b"".join(encoded), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in encoded])])
-        self.words: dict[str, list[int]] = {}
+        self.texts, self.decimals = OffsetTable(texts), OffsetTable(map(str, range(size)))
+        self.words = Words(self.word_ids)
 
     def compatible(self, first: int, second: int, below: int | None = None) -> bool:
         """May ``second`` follow ``first`` unmerged? With ``below``: until the merge of that rank."""
@@ -179,61 +219,67 @@ class Codec:
         return known
 
     def word_ids(self, word: str) -> list[int]:
-        """Ids of one word of the split text."""
+        """Ids of one word of the split text.
+
+        The automaton gives the longest token at a place and goes on behind it, as long as these
+        tokens fit; elsewhere it is asked anew. Every byte is a token, so there always is one.
+        """
         data = word.encode()
         spelled = data[:-1].decode("latin-1") + chr(data[-1] + LAST)
-        longest = [-1] * len(spelled)
-        for end, token in self.finder.iter(spelled):
-            longest[end + 1 - self.length[token]] = token
-        found: list[int] = []
-        failed, place, token = bytearray(len(spelled) + 1), 0, longest[0]
-        while place < len(spelled):
-            while token >= 0 and (
-                failed[place + self.length[token]] or found and not self.follows(found[-1], token)
-            ):
-                token = self.shorter[token]
+        longest, length, shorter, follows = self.finder.iter_long, self.length, self.shorter, self.follows
+        size, place, found = len(spelled), 0, []
+        failed = bytearray(size + 1)
+        matches = longest(spelled)
+        token = offered = next(matches)[1]
+        while place < size:
+            while token >= 0 and (failed[place + length[token]] or found and not follows(found[-1], token)):
+                token = shorter[token]
             if token >= 0:
                 found.append(token)
-                place += self.length[token]
-                token = longest[place] if place < len(spelled) else -1
+                place += length[token]
+                if place < size:
+                    if token != offered:
+                        matches = longest(spelled, place)
+                    token = offered = next(matches)[1]
             else:
                 failed[place] = 1
                 last = found.pop()
-                place -= self.length[last]
-                token = self.shorter[last]
+                place -= length[last]
+                token, offered = shorter[last], -1
         return found
 
-    def _plain_ids(self, text: str, out: list[int]) -> None:
-        words = self.words
-        for word in pieces(lowered(text)):
-            known = words.get(word)
-            if known is None:
-                if len(words) >= CACHED_WORDS:
-                    words.clear()
-                known = self.word_ids(word)
-                if len(word) <= 64:
-                    words[word] = known
-            out += known
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        done = 0
+    def encoded(self, text: str) -> np.ndarray:
+        """The ids of a whole text."""
+        found, done = [], 0
         for match in self.special.finditer(text):
-            self._plain_ids(text[done : match.start()], out)
-            out.append(self.special_ids[match.group()])
+            found += map(self.words.__getitem__, pieces(lowered(text[done : match.start()])))
+            found.append(np.int32(self.special_ids[match.group()]).tobytes())
             done = match.end()
-        self._plain_ids(text[done:] if done else text, out)
-        return out
+        found += map(self.words.__getitem__, pieces(lowered(text[done:] if done else text)))
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def encode(self, text: str) -> list[int]:
+        return self.encoded(text).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """Token texts joined by a space."""
-        parts = []
-        for at in range(0, len(ids), 1 << 16):
-            chosen = np.asarray(ids[at : at + (1 << 16)], np.int64)
-            begin, size = self.offsets[chosen], self.offsets[chosen + 1] - self.offsets[chosen]
-            shift = np.repeat(begin - (np.cumsum(size) - size), size)
-            parts.append(self.blob[shift + np.arange(len(shift))].tobytes())
-        return b"".join(parts)[:-1].decode()
+        return self.texts.joined(np.asarray(ids, np.int64)).decode()
+
+
+class Words(dict):
+    """Ids of words as bytes of 32-bit numbers, made when they are first asked for."""
+
+    def __init__(self, make: Callable[[str], list[int]]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        made = np.array(self.make(word), np.int32).tobytes()
+        if len(word) <= 64:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = made
+        return made
 
 
 _codecs: dict[str, Codec] = {}
@@ -272,6 +318,13 @@ def decoder(spark: SparkSession, path: str):
     return decode
 
 
+def _sha256(parts: Iterable[bytes]) -> str:
+    digest = hashlib.sha256()
+    for part in parts:
+        digest.update(part)
+    return digest.hexdigest()
+
+
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
 
 
@@ -285,13 +338,9 @@ def digest(spark: SparkSession, path: str, with_ids: bool = False):
         for texts in batches:
             rows = []
             for text in texts:
-                ids = codec.encode(text)
-                listed = " ".join(map(str, ids)).encode()
+                ids = codec.encoded(text)
                 rows.append((
-                    len(ids),
-                    hashlib.sha256(listed).hexdigest(),
-                    hashlib.sha256(codec.decode(ids).encode()).hexdigest(),
-                    ids if with_ids else None,
+                    len(ids), _sha256(codec.decimals.slices(ids)), _sha256(codec.texts.slices(ids)), ids if with_ids else None,
                 ))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
