@@ -81,7 +81,8 @@ def line_fails(line: str, words: list[str]) -> bool:
         return True
     if n >= PROSE_WORDS and not _STOP.search(line):
         return True
-    if len(_BAR.findall(line)) >= 3 and 4 * len(_BAR.findall(line)) >= n:
+    bars = len(_BAR.findall(line))
+    if bars >= 3 and 4 * bars >= n:
         return True
     if n >= 4 and 100 * sum(a == b for a, b in zip(words, words[1:])) > MAX_STUTTER * n:
         return True
@@ -129,7 +130,8 @@ def judged(text: Column, with_text: bool = True) -> Column:
             rows = [judge_text(t) if with_text else (*judge_text(t)[:-1], None) for t in texts]
             yield pd.DataFrame(rows, columns=names)
 
-    return run(text)
+    # Not to be moved or copied by the optimizer: a filter on a field of the result would run it a second time.
+    return run.asNondeterministic()(text)
 
 
 def quality(docs: DataFrame) -> DataFrame:

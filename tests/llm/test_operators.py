@@ -102,6 +102,11 @@ def test_quality_lines():
     assert not quality_rules.judge_text("\n".join(f"*{i}* $$$ ### &&& {i}x" for i in range(30)))[6]
 
 
+def test_texts_are_judged_once(odd):
+    plan = quality_rules.clean(odd)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_classifier_without_a_class(spark, odd):
     rows = quality_qda.classify(odd, spark.createDataFrame([(4, 1)], LABELS)).collect()
     assert {r.score for r in rows} == {0.5}
