@@ -74,44 +74,46 @@ def recode_obs(
     to them by ``previous_version``. By default their uuid is derived from the replaced one,
     so a recomputed task gives the same value.
     """
+    due = due_for_recoding(old, include_voided)
+    highest = obs.agg(F.max("obs_id")).scalar()
+    return voided_for_recoding(obs, due, now).unionByName(recoded_copies(obs.filter(due), new, highest, new_uuid))
+
+
+def due_for_recoding(old: int, include_voided: bool = False) -> Column:
+    """Is a row coded ``old``, and live unless voided ones are due too?"""
     due = F.col("value_coded") == old
     if not include_voided:
         due = due & (F.col("voided") == 0)
-    due = F.coalesce(due, F.lit(False))
-    voided = obs.select(
-        *[
-            {
-                "voided": F.when(due, F.lit(1)).otherwise(F.col("voided")).cast("int"),
-                "date_voided": F.when(due, now).otherwise(F.col("date_voided")),
-                "void_reason": F.when(due, F.lit(values.RECODED_REASON)).otherwise(
-                    F.col("void_reason")
-                ),
-            }.get(c, F.col(c)).alias(c)
-            for c in obs.columns
-        ]
-    )
+    return F.coalesce(due, F.lit(False))
+
+
+def voided_for_recoding(obs: DataFrame, due: Column, now: Column) -> DataFrame:
+    """All rows, those that are due voided."""
+    changes = {
+        "voided": F.when(due, F.lit(1)).otherwise(F.col("voided")).cast("int"),
+        "date_voided": F.when(due, now).otherwise(F.col("date_voided")),
+        "void_reason": F.when(due, F.lit(values.RECODED_REASON)).otherwise(F.col("void_reason")),
+    }
+    return obs.select(*[changes.get(c, F.col(c)).alias(c) for c in obs.columns])
+
+
+def recoded_copies(due: DataFrame, new: int, highest: Column, new_uuid: Column | None = None) -> DataFrame:
+    """The amended copies of due rows, numbered on from ``highest`` in the order of their ids."""
     if new_uuid is None:
         digest = F.md5(F.concat(F.lit("amended "), F.col("uuid")))
-        new_uuid = F.regexp_replace(
-            digest, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
-        )
-    highest = obs.agg(F.max("obs_id")).scalar()
-    numbered = number_rows(obs.filter(due), "_new_id", "obs_id", after=highest)
-    copies = numbered.select(
-        *[
-            {
-                "obs_id": F.col("_new_id"),
-                "value_coded": F.lit(new).cast(obs.schema["value_coded"].dataType),
-                "voided": F.lit(0),
-                **{c: F.lit(None).cast(obs.schema[c].dataType) for c in _VOID_FIELDS if c in obs.columns},
-                "uuid": new_uuid,
-                "previous_version": F.col("obs_id"),
-                "status": F.lit(values.AMENDED),
-            }.get(c, F.col(c)).alias(c)
-            for c in obs.columns
-        ]
-    )
-    return voided.unionByName(copies)
+        new_uuid = F.regexp_replace(digest, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    kinds = {f.name: f.dataType for f in due.schema}
+    changes = {
+        "obs_id": F.col("_new_id"),
+        "value_coded": F.lit(new).cast(kinds["value_coded"]),
+        "voided": F.lit(0),
+        **{c: F.lit(None).cast(kinds[c]) for c in _VOID_FIELDS if c in kinds},
+        "uuid": new_uuid,
+        "previous_version": F.col("obs_id"),
+        "status": F.lit(values.AMENDED),
+    }
+    numbered = number_rows(due, "_new_id", "obs_id", after=highest)
+    return numbered.select(*[changes.get(c, F.col(c)).alias(c) for c in due.columns])
 
 
 def void_superseded_encounters(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from eavista import values
 from eavista.operators.filters import active
-from eavista.session import remove
+from eavista.sources.swap import Files, Step, recover, staging_path, swap
 
 ENCOUNTER_EXTRACT = T.StructType(
     [
@@ -96,15 +96,15 @@ def overwrite_partitions(
     """Replace the partitions that occur in ``df`` and those in ``loaded``; the others stay as they are.
 
     ``loaded`` names the partitions of all sites that were read, so that a site which yielded no
-    rows loses its old ones. Partitions of ``df`` that are looked up are no more than ``loaded``.
+    rows loses its old ones. The rows are computed once and staged beside the table; which partitions
+    are filled is seen from what was staged. Then whole partitions are swapped: a run that fails
+    before that leaves all old partitions, one that fails in between is finished by the next one.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
-    if loaded:
-        filled = {r[0] for r in df.filter(F.col(column).isin(*loaded)).select(column).distinct().collect()}
-        for number in set(loaded) - filled:
-            remove(df.sparkSession, f"{path}/{column}={number}")
+    spark, path = df.sparkSession, path.rstrip("/")
+    recover(spark, path)
+    staged = staging_path(path)
+    df.write.partitionBy(column).parquet(staged)
+    filled = [name for name in Files(spark, staged).names(staged) if name.startswith(f"{column}=")]
+    steps = [Step(f"{path}/{name}", f"{staged}/{name}", f"{path}/{name}") for name in filled]
+    emptied = {f"{column}={number}" for number in loaded} - set(filled)
+    swap(spark, path, staged, [*steps, *(Step(f"{path}/{name}") for name in sorted(emptied))])
