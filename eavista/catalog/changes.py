@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eavista import values
 from eavista.catalog.registry import check
-from eavista.operators import migrate
+from eavista.operators import migrate, stored
 from eavista.operators.filters import active
 from eavista.operators.obs import Measure, pivot_obs
 
@@ -84,7 +84,9 @@ UNION ALL SELECT top.id + n, encounter_id, concept_id, 202,
 
 @check("dml_void_and_replace", _MIGRATED_SQL)
 def dml_void_and_replace(fx):
-    return migrate.recode_obs(fx.sql(_FULL_SPARK), 203, 202, _now())
+    """The stored table after the change, of which only files with due rows are made anew."""
+    path = fx.written("full_obs", lambda: fx.sql(_FULL_SPARK))
+    return stored.recode_obs(fx.spark, path, 203, 202, _now()).result()
 
 
 _SUPERSEDED = """SELECT encounter_id FROM fx_version_encounter e WHERE e.voided = 0

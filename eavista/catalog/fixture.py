@@ -11,7 +11,7 @@ all reports: up to 36 observations per line item, in five groups.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
@@ -445,18 +445,22 @@ class Fixture:
         return self._stored(name) if name in STORED else self._made[name]
 
     def _stored(self, name: str) -> DataFrame:
-        """The view as a written table below the shared folder, written again if it is gone."""
+        """The view as a written table below the shared folder."""
         made = self._made[name]
-        read = self.spark.read.schema(made.schema)
+        return self.spark.read.schema(made.schema).parquet(self.written(name, lambda: made))
+
+    def written(self, name: str, make: Callable[[], DataFrame]) -> str:
+        """The path of a table that is written once an application, and again if it is gone."""
         if name in self._paths:
             try:
-                return read.parquet(self._paths[name])
+                self.spark.read.parquet(self._paths[name])
+                return self._paths[name]
             except AnalysisException:
                 pass
         path = fresh_path(self.spark, name)
-        made.write.parquet(path)
+        make().write.parquet(path)
         self._paths[name] = path
-        return read.parquet(path)
+        return path
 
     def __getattr__(self, name: str) -> DataFrame:
         if f"fx_{name}" not in VIEWS:

@@ -52,7 +52,7 @@ def diagnoses(clinic: Clinic, start: Day = None, end: Day = None) -> DataFrame:
 
     rows = clinic.with_user_name(rows, "creator", "entered_by", "obs_id")
     rows = clinic.with_location(rows, "location_id", "encounter_location", "obs_id")
-    people = clinic.people().join(clinic.identifiers(values.EMR_ID, "emr_id"), "patient_id", "left")
+    people = clinic.people().join(clinic.identifiers(values.EMR_ID, "emr_id", encounters), "patient_id", "left")
     rows = rows.join(people, "patient_id", "left")
     confirmed = F.col("_certainty") == dictionary.concept(values.CONFIRMED)
     return rows.select(

@@ -91,11 +91,11 @@ def history(
     obs = staged_obs(narrow_obs(wanted, base, vitals), "history")
     answers = pivot_obs(obs, "encounter_id", measures(values.HISTORY_MEASURES), clinic.dictionary)
     rows = base
-    for table in (answers, _latest_exams(clinic, obs), clinic.providers()):
+    for table in (answers, _latest_exams(clinic, obs), clinic.providers(encounters=base)):
         rows = rows.join(table, "encounter_id", "left")
     rows = with_visit_vitals(clinic, rows, latest, obs, measures(values.HISTORY_VITALS))
     rows = clinic.with_location(rows, "location_id", "location_name", "encounter_id")
-    for table in (clinic.people(), clinic.names(), clinic.addresses(), clinic.phones()):
+    for table in (clinic.people(), clinic.names(base), clinic.addresses(base), clinic.phones(patients=base)):
         rows = rows.join(table, "patient_id", "left")
     rows = rows.withColumns({
         "latest_pap_smear_date": F.to_date("_pap.at"),

@@ -78,7 +78,7 @@ def clinical_note(
         .select("encounter_id", "patient_id", "visit_id", "encounter_datetime", "location_id")
     )
     base = number_rows(base, "consult_id", "encounter_datetime", "encounter_id")
-    registered = latest_registration(clinic).drop("registration_datetime")
+    registered = latest_registration(clinic, base).drop("registration_datetime")
     latest = latest_vitals_in_visit(clinic, base)
     # the consults, the vitals of their visits and the registrations, in one pass
     codes = [m[1] for table in (values.NOTE_CONSULT, values.NOTE_VITALS, values.MEDICATION_MEASURES)
@@ -87,8 +87,7 @@ def clinical_note(
     keys = (
         base,
         latest.select(F.col("vitals_encounter_id").alias("encounter_id")),
-        registered.join(base, "patient_id", "left_semi").select(
-            F.col("registration_encounter_id").alias("encounter_id")),
+        registered.select(F.col("registration_encounter_id").alias("encounter_id")),
     )
     obs = staged_obs(narrow_obs(clinic["obs"], *keys, codes=codes, dictionary=dictionary), "note")
 
@@ -99,7 +98,7 @@ def clinical_note(
     lines = medication_lines(obs, dictionary, clinic["drug"])
     rows = base
     for table in (answers, tests, coded_diagnosis_lists(clinic, obs, keep_incomplete),
-                  treatment_lists(lines, keep_incomplete), clinic.providers()):
+                  treatment_lists(lines, keep_incomplete), clinic.providers(encounters=base)):
         rows = rows.join(table, "encounter_id", "left")
     rows = with_visit_vitals(clinic, rows, latest, obs, measures(values.NOTE_VITALS))
     rows = clinic.with_location(rows, "location_id", "encounter_location", "encounter_id")
@@ -112,7 +111,7 @@ def clinical_note(
         [Measure("insurance_policy_number", values.POLICY_NUMBER, "text")], dictionary,
     ).withColumnRenamed("encounter_id", "registration_encounter_id")
     registered = registered.join(policy, "registration_encounter_id", "left")
-    for table in (clinic.people(), clinic.names(), registered):
+    for table in (clinic.people(), clinic.names(base), registered):
         rows = rows.join(table, "patient_id", "left")
     return rows.select(*_note_columns(rows))
 

@@ -77,10 +77,12 @@ def all_diagnoses(clinic: Clinic, obs: DataFrame) -> DataFrame:
     )
 
 
-def allergy_lists(clinic: Clinic, include_voided: bool = False) -> DataFrame:
+def allergy_lists(clinic: Clinic, include_voided: bool = False, patients: DataFrame | None = None) -> DataFrame:
     """(patient_id, allergies): each displayed allergy once, in alphabetical order."""
     dictionary = clinic.dictionary
     rows = clinic["allergy"] if include_voided else active(clinic["allergy"])
+    if patients is not None:
+        rows = rows.join(patients.select("patient_id").distinct(), "patient_id", "left_semi")
     names = dictionary.best_names().select(F.col("concept_id").alias("_concept"), "name")
     rows = left_lookup(rows, names, "coded_allergen", "_concept", "patient_id")
     other = F.col("coded_allergen") == dictionary.concept(values.OTHER)
@@ -107,9 +109,9 @@ def controlled_encounters(
         ordered_list("diagnosis", ", ", "sort_order", "obs_id").alias("diagnoses")
     )
     rows = consults.join(lists, "encounter_id", "left").join(
-        clinic.providers("prescriber"), "encounter_id", "left"
+        clinic.providers("prescriber", consults), "encounter_id", "left"
     )
-    for table in (clinic.people(), clinic.names(), allergy_lists(clinic, include_voided)):
+    for table in (clinic.people(), clinic.names(consults), allergy_lists(clinic, include_voided, consults)):
         rows = rows.join(table, "patient_id", "left")
     date = F.to_date("encounter_datetime")
     return rows.select(

@@ -13,9 +13,14 @@ from eavista.operators.obs import Measure, narrow_obs, pivot_obs, staged_obs
 from eavista.sources.clinic import Clinic
 
 
-def latest_registration(clinic: Clinic) -> DataFrame:
-    """(patient_id, registration_encounter_id, registration_datetime, registration_location_id)."""
+def latest_registration(clinic: Clinic, patients: DataFrame | None = None) -> DataFrame:
+    """(patient_id, registration_encounter_id, registration_datetime, registration_location_id).
+
+    Of all patients, or of those in ``patients``, whose registrations alone are ranked then.
+    """
     rows = clinic.encounters(values.REGISTRATION)
+    if patients is not None:
+        rows = rows.join(patients.select("patient_id").distinct(), "patient_id", "left_semi")
     return latest_per_key(rows, "patient_id", *newest("encounter_datetime", "encounter_id")).select(
         "patient_id",
         F.col("encounter_id").alias("registration_encounter_id"),
@@ -36,7 +41,7 @@ def front_sheet(
     patients = (
         clinic.encounters(values.CONSULT, start, end, patient_id).select("patient_id").distinct()
     )
-    registered = latest_registration(clinic).join(patients, "patient_id", "left_semi")
+    registered = latest_registration(clinic, patients)
     rows = patients.join(registered, "patient_id", "left")
 
     # the members of an observation group belong to one encounter, so one narrowed copy serves all
@@ -71,8 +76,9 @@ def front_sheet(
         rows = left_lookup(rows, table, "registration_encounter_id", "_encounter", "patient_id")
     rows = left_lookup(rows, policy, "seguro_popular_obs_group_id", "_group", "patient_id")
 
-    for table in (clinic.people(), clinic.names(), clinic.addresses(), clinic.phones(),
-                  clinic.identifiers(values.NATIONAL_ID, "curp")):
+    for table in (clinic.people(), clinic.names(patients), clinic.addresses(patients),
+                  clinic.phones(patients=patients),
+                  clinic.identifiers(values.NATIONAL_ID, "curp", patients)):
         rows = rows.join(table, "patient_id", "left")
     surname = F.trim("family_name")
     return rows.select(

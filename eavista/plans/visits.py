@@ -21,8 +21,9 @@ def _countable_encounters(clinic: Clinic, start: Day, end: Day, type_uuid: str |
     return clinic.without_test_patients(rows.join(clinic.live_patients(), "patient_id", "left_semi"))
 
 
-def _with_person(clinic: Clinic, rows: DataFrame) -> DataFrame:
-    people = clinic.people().join(clinic.names(), "patient_id")
+def _with_person(clinic: Clinic, rows: DataFrame, encounters: DataFrame) -> DataFrame:
+    """Add person and name; only the names of the encounters' patients are ranked."""
+    people = clinic.people().join(clinic.names(encounters), "patient_id")
     return rows.join(people, "patient_id")
 
 
@@ -61,18 +62,25 @@ def _live_visit(clinic: Clinic, rows: DataFrame) -> DataFrame:
     return joined.withColumn("visit_id", F.when(F.col("_live"), F.col("visit_id"))).drop("_live")
 
 
+def _earlier_visits(clinic: Clinic, encounters: DataFrame, include_voided: bool) -> DataFrame:
+    """(_visit, _again) of the encounters' visits, from their patients' visits of the same years only."""
+    due = clinic.active("visit").join(
+        encounters.select("visit_id").filter("visit_id IS NOT NULL").distinct(), "visit_id", "left_semi"
+    )
+    pairs = due.select("patient_id", F.year("date_started").alias("_year")).distinct()
+    history = clinic["visit"] if include_voided else clinic.active("visit")
+    history = history.withColumn("_year", F.year("date_started")).join(pairs, ["patient_id", "_year"], "left_semi")
+    flagged = with_earlier_visit_flag(due, history.drop("_year"), "_again")
+    return flagged.select(F.col("visit_id").alias("_visit"), "_again")
+
+
 def visits(clinic: Clinic, start: Day, end: Day, include_voided: bool = False) -> DataFrame:
     """One row per visit: date, name, age, gender, insurance flag, first visit of the year."""
-    rows = _per_visit(_live_visit(clinic, _countable_encounters(clinic, start, end, None)))
-    rows = _with_person(clinic, rows)
-    rows = rows.join(_insured(clinic, rows), "patient_id", "left")
-
-    all_visits = clinic["visit"]
-    history = all_visits if include_voided else active(all_visits)
-    flagged = with_earlier_visit_flag(active(all_visits), history, "_again").select(
-        F.col("visit_id").alias("_visit"), "_again"
-    )
-    rows = left_lookup(rows, flagged, "visit_id", "_visit", "encounter_id")
+    encounters = _countable_encounters(clinic, start, end, None)
+    rows = _per_visit(_live_visit(clinic, encounters))
+    rows = _with_person(clinic, rows, encounters)
+    rows = rows.join(_insured(clinic, encounters), "patient_id", "left")
+    rows = left_lookup(rows, _earlier_visits(clinic, encounters, include_voided), "visit_id", "_visit", "encounter_id")
     rows = clinic.with_location(rows, "location_id", "Clinica", "encounter_id")
     return rows.select(
         ages.date_and_time_text(F.col("encounter_datetime")).alias("Fecha"),
@@ -143,7 +151,7 @@ def visit_diagnoses(clinic: Clinic, start: Day, end: Day) -> DataFrame:
         "encounter_id", F.col("obs_id").alias("dx_obs_id"), "obs_group_id", "value_coded"
     )
     rows = _per_visit(encounters.join(coded, "encounter_id", "left"), "value_coded")
-    rows = _with_person(clinic, rows).join(_insured(clinic, rows), "patient_id", "left")
+    rows = _with_person(clinic, rows, encounters).join(_insured(clinic, encounters), "patient_id", "left")
     rows = _with_diagnosis_labels(clinic, obs, rows)
     rows = clinic.with_location(rows, "location_id", "Clinica", "encounter_id")
     return rows.select(
@@ -172,8 +180,8 @@ def epidemiology(clinic: Clinic, start: Day, end: Day, include_voided: bool = Fa
         .join(pairs, ["person_id", "value_coded"], "left_semi"),
         ["person_id", "value_coded"], "date_created", "_first",
     )
-    towns = clinic.addresses().select("patient_id", F.col("city_village").alias("De donde es"))
-    rows = _with_person(clinic, rows).join(towns, "patient_id", "left")
+    towns = clinic.addresses(encounters).select("patient_id", F.col("city_village").alias("De donde es"))
+    rows = _with_person(clinic, rows, encounters).join(towns, "patient_id", "left")
     rows = _with_diagnosis_labels(clinic, obs, rows)
     rows = clinic.with_location(rows, "location_id", "Clinica", "encounter_id")
     return rows.select(

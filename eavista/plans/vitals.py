@@ -26,7 +26,7 @@ def vitals(clinic: Clinic, start: Day, end: Day) -> DataFrame:
     rows = base.join(measured, "encounter_id", "left")
     rows = clinic.with_user_name(rows, "creator", "entered_by", "encounter_id")
     rows = clinic.with_location(rows, "location_id", "encounter_location", "encounter_id")
-    people = clinic.people().join(clinic.identifiers(values.EMR_ID, "emr_id"), "patient_id", "left")
+    people = clinic.people().join(clinic.identifiers(values.EMR_ID, "emr_id", base), "patient_id", "left")
     rows = rows.join(people, "patient_id", "left")
     order = [name for name, _, _ in values.VITALS_MEASURES]
     return rows.select(

@@ -94,25 +94,38 @@ class Clinic:
             F.col("person_id").alias("patient_id"), "gender", F.col("birthdate").cast("date")
         )
 
-    def names(self) -> DataFrame:
-        return lookups.latest_names(self["person_name"]).select(
+    def _of(self, name: str, column: str, wanted: DataFrame | None, key: str) -> DataFrame:
+        """A table's rows of the ids that stand in ``wanted``, all rows when None.
+
+        The semi join comes before any ranking and shares its partitioning, so a report ranks its own
+        persons only.
+        """
+        if wanted is None:
+            return self[name]
+        ids = wanted.select(F.col(key).alias(column)).filter(F.col(column).isNotNull()).distinct()
+        return self[name].join(ids, column, "left_semi")
+
+    def names(self, patients: DataFrame | None = None) -> DataFrame:
+        """The current name of all patients, or of those in ``patients``; so for the lookups below."""
+        return lookups.latest_names(self._of("person_name", "person_id", patients, "patient_id")).select(
             F.col("person_id").alias("patient_id"), "given_name", "family_name"
         )
 
-    def addresses(self) -> DataFrame:
+    def addresses(self, patients: DataFrame | None = None) -> DataFrame:
         """(patient_id, the address levels) of the current address."""
-        return lookups.latest_addresses(self["person_address"]).select(
+        return lookups.latest_addresses(self._of("person_address", "person_id", patients, "patient_id")).select(
             F.col("person_id").alias("patient_id"), *values.ADDRESS_LEVELS
         )
 
-    def phones(self, name: str = "telephone") -> DataFrame:
+    def phones(self, name: str = "telephone", patients: DataFrame | None = None) -> DataFrame:
         return lookups.latest_attribute(
-            self["person_attribute"], self.phone_attribute, name
+            self._of("person_attribute", "person_id", patients, "patient_id"), self.phone_attribute, name
         ).withColumnRenamed("person_id", "patient_id")
 
-    def identifiers(self, type_uuid: str, name: str) -> DataFrame:
+    def identifiers(self, type_uuid: str, name: str, patients: DataFrame | None = None) -> DataFrame:
         return lookups.latest_identifier(
-            self["patient_identifier"], self["patient_identifier_type"], type_uuid, name
+            self._of("patient_identifier", "patient_id", patients, "patient_id"),
+            self["patient_identifier_type"], type_uuid, name,
         )
 
     def with_location(self, df: DataFrame, column: str, name: str, spread: str) -> DataFrame:
@@ -124,5 +137,6 @@ class Clinic:
         users = lookups.user_names(self["users"], self["person_name"], name)
         return left_lookup(df, users, column, "user_id", spread, FEW_IDS)
 
-    def providers(self, name: str = "provider") -> DataFrame:
-        return lookups.encounter_providers(self["encounter_provider"], self["provider"], name)
+    def providers(self, name: str = "provider", encounters: DataFrame | None = None) -> DataFrame:
+        rows = self._of("encounter_provider", "encounter_id", encounters, "encounter_id")
+        return lookups.encounter_providers(rows, self["provider"], name)

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from eavista.catalog.fixture import SPARK_KEY, Fixture
-from eavista.operators import joins, migrate, obs as obs_operators
+from eavista.operators import joins, lookups, migrate, obs as obs_operators
 from eavista.operators.lookups import Dictionary
-from eavista.plans import diagnoses, visits
+from eavista.plans import diagnoses, history, note, prescriptions, registration, visits, vitals
 from eavista.session import checkpoint, scratch, shared_dir, stage
 from eavista.sources import dictionaries, sites
 from tests.compare import SF_DIR
@@ -175,3 +175,44 @@ def test_wide_pivot_names_are_those_of_the_picked_row(spark):
 
 def test_checkpoint_cuts_the_plan(spark):
     assert checkpoint(spark.range(3)).count() == 3
+
+
+RANKED = ("latest_names", "latest_addresses", "latest_attribute", "latest_identifier")
+
+
+def test_one_day_ranks_one_days_persons(spark, clinic, monkeypatch):
+    """Names, addresses, phones, identifiers and providers are ranked for the report's rows (and its users) only."""
+    seen = []
+    for name in RANKED:
+        make = getattr(lookups, name)
+        monkeypatch.setattr(lookups, name, lambda rows, *a, make=make: seen.append(rows) or make(rows, *a))
+    make = lookups.encounter_providers
+    monkeypatch.setattr(lookups, "encounter_providers", lambda rows, *a: seen.append(rows) or make(rows, *a))
+    day = str(clinic["encounter"].filter("voided = 0").agg(F.min("encounter_datetime")).first()[0])[:10]
+    inside = clinic.encounters(None, day, day).select("encounter_id", "patient_id")
+    people = inside.select("patient_id").union(clinic["users"].select("person_id")).distinct()
+    for report in (
+        vitals.vitals, diagnoses.diagnoses, visits.visits, visits.visit_diagnoses, visits.epidemiology, registration.front_sheet,
+        history.history, note.clinical_note, prescriptions.controlled_encounters,
+    ):
+        report(clinic, day, day)
+    assert len(seen) >= 14
+    for rows in seen:
+        key = next(c for c in ("encounter_id", "person_id", "patient_id") if c in rows.columns)
+        known = inside.select(key) if key == "encounter_id" else people.withColumnRenamed("patient_id", key)
+        assert rows.join(known, key, "left_anti").isEmpty()
+
+
+def test_one_day_reads_one_days_visit_histories(spark, clinic, monkeypatch):
+    seen = []
+    make = visits.with_earlier_visit_flag
+    monkeypatch.setattr(
+        visits, "with_earlier_visit_flag", lambda due, past, flag: seen.append((due, past)) or make(due, past, flag)
+    )
+    day = str(clinic["encounter"].filter("voided = 0").agg(F.min("encounter_datetime")).first()[0])[:10]
+    visits.visits(clinic, day, day)
+    (due, past), = seen
+    inside = clinic.encounters(None, day, day)
+    assert due.join(inside, "visit_id", "left_anti").isEmpty()
+    pairs = due.select("patient_id", F.year("date_started").alias("y")).distinct()
+    assert past.withColumn("y", F.year("date_started")).join(pairs, ["patient_id", "y"], "left_anti").isEmpty()
