@@ -143,6 +143,22 @@ def obs_pivot_wide(fx):
                      fx.clinic.dictionary)
 
 
+@check("obs_pivot_bucketed", f"""
+SELECT encounter_id, {measure_sql(values.VITALS_MEASURES)}
+FROM (SELECT o.*, n.name FROM fx_clinic_obs o LEFT JOIN ({NAMES}) n ON n.concept_id = o.value_coded
+      WHERE o.voided = 0 AND o.concept_id IN ({_VITALS_IDS}) AND o.encounter_id IN (
+        SELECT encounter_id FROM fx_encounter WHERE voided = 0
+          AND encounter_datetime >= TIMESTAMP '1996-01-01' AND encounter_datetime < TIMESTAMP '1997-01-01')) s
+GROUP BY encounter_id
+""")
+def obs_pivot_bucketed(fx):
+    """The vitals of one year's encounters, joined and pivoted in the buckets of a stored table."""
+    year = fx.clinic.encounters(None, "1996-01-01", "1996-12-31")
+    codes = [code for _, code, _ in values.VITALS_MEASURES]
+    rows = narrow_obs(fx.bucketed_obs(), year, codes=codes, dictionary=fx.clinic.dictionary)
+    return pivot_obs(rows, "encounter_id", measures(values.VITALS_MEASURES), fx.clinic.dictionary)
+
+
 @check("obs_to_date_of_group", f"""
 SELECT encounter_id, arg_max(obs_group_id, obs_id) AS insurance_group FROM fx_clinic_obs
 WHERE voided = 0 AND concept_id = {cid(values.INSURANCE)} AND value_coded = {cid(values.POPULAR_INSURANCE)}

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eavista import values
 from eavista.session import fresh_path, literal_table
+from eavista.sources.bucketed import store_bucketed
 from eavista.sources.clinic import Clinic
 
 TABLES = (
@@ -451,6 +452,9 @@ class Fixture:
 
     def written(self, name: str, make: Callable[[], DataFrame]) -> str:
         """The path of a table that is written once an application, and again if it is gone."""
+        return self._placed(name, lambda path: make().write.parquet(path))
+
+    def _placed(self, name: str, write: Callable[[str], None]) -> str:
         if name in self._paths:
             try:
                 self.spark.read.parquet(self._paths[name])
@@ -458,10 +462,21 @@ class Fixture:
             except AnalysisException:
                 pass
         path = fresh_path(self.spark, name)
-        make().write.parquet(path)
+        write(path)
         self._paths[name] = path
         return path
 
+    def bucketed_obs(self) -> DataFrame:
+        """The observations that have an encounter, stored in its buckets once an application."""
+        name = f"fx_bucketed_obs_{abs(hash(self.sf_dir)):x}"
+
+        def store(path: str) -> None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            store_bucketed(self.clinic["obs"].filter("encounter_id IS NOT NULL"), name=name, path=path)
+
+        self._placed("bucketed_obs", store)
+        return self.spark.table(name)
+
     def __getattr__(self, name: str) -> DataFrame:
         if f"fx_{name}" not in VIEWS:
             raise AttributeError(name)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eavista import values
+from eavista.operators import naming
 from eavista.operators.filters import active
 from eavista.operators.joins import FEW_IDS, left_lookup
 from eavista.operators.latest import latest_per_key, newest
@@ -68,6 +69,7 @@ class Dictionary:
     local_source: str = "LOCAL"
     locale: str = values.DEFAULT_LOCALE
     _known: dict[str, int | None] = field(default_factory=dict, init=False, repr=False, compare=False)
+    _small: dict[str, bool] = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def split(self, code: str | int) -> tuple[str, str]:
         """``CIEL:21`` is a code of that source; a bare code belongs to the local source."""
@@ -141,6 +143,21 @@ class Dictionary:
     def best_names(self) -> DataFrame:
         return best_names(self.names, self.locale)
 
+    def is_small(self, table: str = "names") -> bool:
+        """Whether ``names`` (or ``mapping``) may be sent to the tasks; counted once."""
+        if table not in self._small:
+            self._small[table] = naming.is_small(getattr(self, table))
+        return self._small[table]
+
+    def with_name(self, df: DataFrame, column: str, name: str, spread: str) -> DataFrame:
+        """Add the displayed name of the coded ``column``."""
+        return naming.with_name(df, column, self.best_names(), "concept_id", "name", name, spread, self.is_small())
+
+    def with_code(self, df: DataFrame, column: str, source: str, name: str, spread: str) -> DataFrame:
+        """Add one code of the source for the coded ``column``."""
+        codes = self.codes_of(source)
+        return naming.with_name(df, column, codes, "concept_id", "code", name, spread, self.is_small("mapping"))
+
     def name_of(self, code: str | int) -> Column:
         """The displayed name of one code, as a scalar subquery."""
         named = self.best_names().join(self.resolve({"it": code}), "concept_id")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eavista import values
 from eavista.functions.text import fixed_map, quoted
+from eavista.operators import naming
 from eavista.operators.joins import left_lookup
 from eavista.operators.lookups import Dictionary
 from eavista.session import stage
@@ -130,7 +131,7 @@ def pivot_obs(
     column. Observations of other concepts are dropped at the scan, and the partial aggregation
     keeps one value per key, column and map task. Coded values and drugs are picked as ids; only
     the picked ones are then given their names, so observations never meet the dictionary. Lists
-    need every name and are made apart, from the rows of their concepts.
+    are made apart, from the rows of their concepts: as lists of ids, which get their names at the end.
 
     More than ``WIDE`` columns are made in two halves, numbers and texts: the numbers then
     stay in the hash aggregate, whose cost hardly grows with the columns, and the halves meet
@@ -149,7 +150,8 @@ def pivot_obs(
         names = dictionary.best_names() if names is None else names
     made = [_pivot(obs, keys, part, ids) for part in parts if part]
     if lists:
-        made.append(_pivot(_named_values(obs, lists, ids, names), keys, lists, ids))
+        small = naming.is_small(names) if dictionary is None else dictionary.is_small()
+        made.append((_late_lists if small else _joined_lists)(obs, keys, lists, ids, names))
     joined = reduce(lambda a, b: a.join(b, keys, "full"), made)
     for m in single:
         if m.kind in NAMED:
@@ -157,12 +159,39 @@ def pivot_obs(
     return joined.select(*keys, *[m.column for m in wanted])
 
 
-def _named_values(
-    obs: DataFrame, lists: Sequence[Measure], ids: dict[int | str, int | None], names: DataFrame
+def _late_lists(
+    obs: DataFrame, keys: list[str], lists: Sequence[Measure], ids: dict[int | str, int | None], names: DataFrame
 ) -> DataFrame:
+    """The lists of a small dictionary: ids are shuffled, distinct ids named once, and names put in place in the lists."""
     rows = of_concepts(obs, [ids[m.concept] for m in lists if ids[m.concept] is not None])
-    named = names.select(F.col("concept_id").alias("_named"), F.col("name").alias("_name"))
-    return left_lookup(rows, named, "value_coded", "_named", "obs_id")
+    index = naming.name_index(rows, "value_coded", names, "concept_id", "name")
+    answers = [
+        F.expr(f"array_sort(collect_list(struct(obs_id, value_coded)) FILTER (WHERE {_hit(m, ids)}))").alias(m.column)
+        for m in lists
+    ]
+    made = rows.groupBy(*keys).agg(*answers).withColumn("_index", index)
+    shown = []
+    for m in lists:
+        texts = F.array_compact(F.transform(m.column, lambda a: naming.named(F.col("_index"), a["value_coded"])))
+        shown.append(F.when(F.size(texts) > 0, F.array_join(texts, m.separator)).alias(m.column))
+    return made.select(*keys, *shown)
+
+
+def _joined_lists(
+    obs: DataFrame, keys: list[str], lists: Sequence[Measure], ids: dict[int | str, int | None], names: DataFrame
+) -> DataFrame:
+    """The lists of a large dictionary: rows meet their names in a join that deals hot answers to parts."""
+    rows = of_concepts(obs, [ids[m.concept] for m in lists if ids[m.concept] is not None])
+    rows = naming.with_name(rows, "value_coded", names, "concept_id", "name", "_name", "obs_id", small=False)
+    return _pivot(rows, keys, lists, ids)
+
+
+def _hit(m: Measure, ids: dict[int | str, int | None]) -> str:
+    """The condition of a measure's observations."""
+    if ids[m.concept] is None or m.answer is not None and ids[m.answer] is None:
+        return "false"
+    answer = "" if m.answer is None else f" AND value_coded = {ids[m.answer]}"
+    return f"concept_id = {ids[m.concept]}{answer}"
 
 
 def _translated(rows: DataFrame, m: Measure, keys: list[str], table: DataFrame) -> DataFrame:
@@ -178,10 +207,7 @@ def _pivot(
 ) -> DataFrame:
     def column(m: Measure) -> Column:
         value = NAMED[m.kind][0] if m.kind in NAMED else VALUE_COLUMNS[m.kind]
-        known = ids[m.concept] is not None and (m.answer is None or ids[m.answer] is not None)
-        hit = f"concept_id = {ids[m.concept]}" if known else "false"
-        if known and m.answer is not None:
-            hit += f" AND value_coded = {ids[m.answer]}"
+        hit = _hit(m, ids)
         if m.kind == "coded_list":
             return ordered_list(value, m.separator, "obs_id", where=hit).alias(m.column)
         pick = "max_by" if m.pick == "newest" else "min_by"
@@ -265,8 +291,7 @@ def rapid_test_lines(obs: DataFrame, dictionary: Dictionary) -> DataFrame:
     answers = {"positive": values.POSITIVE, "negative": values.NEGATIVE, "yes": values.YES_SHARED}
     rows = dictionary.only_role(obs, "concept_id", tests, "_test")
     rows = dictionary.with_role(rows, "value_coded", answers, "_result")
-    named = dictionary.best_names().select("concept_id", F.col("name").alias("_value"))
-    rows = left_lookup(rows, named, "value_coded", "concept_id", "obs_id")
+    rows = dictionary.with_name(rows, "value_coded", "_value", "obs_id")
     label = F.try_element_at(fixed_map(values.RAPID_TESTS), F.col("_test"))
     suspected = F.col("_test").isin(*values.SUSPICIONS) & (F.col("_result") == "yes")
     shown = (

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eavista import values
 from eavista.functions import ages, clinical, text
 from eavista.operators.filters import Day
-from eavista.operators.joins import left_lookup
 from eavista.operators.latest import number_rows
 from eavista.operators.obs import (
     Measure, measures, medication_lines, narrow_obs, ordered_list, pivot_obs, rapid_test_lines,
@@ -27,10 +26,8 @@ def coded_diagnosis_lists(
     """
     dictionary = clinic.dictionary
     rows = dictionary.only_role(obs, "concept_id", {"dx": values.DIAGNOSIS}, "_role")
-    names = dictionary.best_names().select(F.col("concept_id").alias("_concept"), "name")
-    icd = dictionary.codes_of(values.ICD10).withColumnRenamed("concept_id", "_concept")
-    rows = left_lookup(rows, names, "value_coded", "_concept", "obs_id")
-    rows = left_lookup(rows, icd, "value_coded", "_concept", "obs_id")
+    rows = dictionary.with_name(rows, "value_coded", "name", "obs_id")
+    rows = dictionary.with_code(rows, "value_coded", values.ICD10, "code", "obs_id")
     shown = F.concat("name", F.lit(" "), "code")
     if keep_incomplete:
         shown = text.join_present(" ", F.col("name"), F.col("code"))

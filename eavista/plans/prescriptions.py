@@ -60,8 +60,7 @@ def all_diagnoses(clinic: Clinic, obs: DataFrame) -> DataFrame:
     dictionary = clinic.dictionary
     codes = {"coded": values.DIAGNOSIS, "text": values.DIAGNOSIS_TEXT_NUMBER}
     found = dictionary.only_role(obs, "concept_id", codes, "_role")
-    names = dictionary.best_names().select(F.col("concept_id").alias("_concept"), "name")
-    coded = left_lookup(found.filter("_role = 'coded'"), names, "value_coded", "_concept", "obs_id")
+    coded = dictionary.with_name(found.filter("_role = 'coded'"), "value_coded", "name", "obs_id")
     columns = ["encounter_id", "obs_id", "obs_group_id"]
     rows = coded.select(*columns, F.col("name").alias("diagnosis")).unionByName(
         found.filter("_role = 'text'").select(*columns, F.col("value_text").alias("diagnosis"))
