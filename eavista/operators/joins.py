@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Copies of a small table whose few ids each stand in very many rows.
 FEW_IDS = 16
+#: A value group with more than one part in so many of all records is dealt to so many tasks.
+LARGE_PART, DEALT = 256, 64
+#: Groups of a table with fewer records than this are small for any task.
+SMALL_TABLE = 1_000_000
 
 
 def left_lookup(
@@ -136,6 +140,20 @@ def superseded_encounters(encounters: DataFrame, obs: DataFrame) -> DataFrame:
     return encounters.join(state, "encounter_id", "left_semi")
 
 
+def _large_groups(keyed: DataFrame, records: Column) -> DataFrame:
+    """(_mask, _key, _large): fewer than ``LARGE_PART`` groups a mask, so the table is broadcast."""
+    # counts are combined before the shuffle
+    sizes = keyed.groupBy("_mask", "_key").agg(F.count("*").alias("_size"))
+    large = sizes.filter(F.col("_size") * LARGE_PART > F.greatest(records, F.lit(SMALL_TABLE)))
+    return F.broadcast(large.select("_mask", "_key", F.lit(True).alias("_large")))
+
+
+def _dealt(keyed: DataFrame, large: DataFrame) -> DataFrame:
+    """Add ``_part``: 0, or for a large group a part by a hash of the id."""
+    part = F.when(F.col("_large"), F.pmod(F.xxhash64("_id"), F.lit(DEALT)).cast("int")).otherwise(0)
+    return keyed.join(large, ["_mask", "_key"], "left").withColumn("_part", part).drop("_large")
+
+
 def similar_records(
     records: DataFrame, id_column: str, weights: Mapping[str, int], top: int
 ) -> DataFrame:
@@ -148,6 +166,10 @@ def similar_records(
     those of the group of exactly its equal fields, then at least ``top`` others there score
     no less and have a smaller id. So a record meets at most ``top + 1`` candidates per field
     set, however large its groups are, and the result is exact.
+
+    The records of a large group are dealt to ``DEALT`` parts by a hash of their id, each with a copy of the
+    group's few candidates. Groups with more than 1 / ``LARGE_PART`` of the records are fewer than
+    ``LARGE_PART`` a field set: that bounds the table of large groups, which is broadcast.
     """
     fields = list(weights)
     own = records.select(F.col(id_column).cast("bigint").alias("_id"), *fields)
@@ -178,11 +200,16 @@ def similar_records(
         .select("_mask", "_key", F.col("_id").alias("similar_id"),
                 *[F.col(f).alias(f"_{f}") for f in fields])
     )
+    large = _large_groups(keyed, own.agg(F.count("*")).scalar())
+    keyed = _dealt(keyed, large)
+    copies = F.when(F.col("_large"), F.sequence(F.lit(0), F.lit(DEALT - 1))).otherwise(F.array(F.lit(0)))
+    heads = heads.join(large, ["_mask", "_key"], "left").withColumn("_part", F.explode(copies)).drop("_large")
+
     equal = {f: F.coalesce(F.col(f) == F.col(f"_{f}"), F.lit(False)) for f in fields}
     same_mask = sum((F.when(equal[f], 1 << i).otherwise(0) for i, f in enumerate(fields)), F.lit(0))
     score = sum((F.when(equal[f], w).otherwise(0) for f, w in weights.items()), F.lit(0))
     candidates = (
-        keyed.join(heads, ["_mask", "_key"])
+        keyed.join(heads, ["_mask", "_key", "_part"])
         .filter((F.col("_id") != F.col("similar_id")) & (same_mask == F.col("_mask")))
         .select("_id", "similar_id", score.cast("int").alias("score"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,8 +19,10 @@ _OWNED: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session, or else one below the warehouse, which executors share too."""
+    """The shared folder named by the session; on one machine only, else a folder below the warehouse."""
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError(f"name a folder that all executors share in {CHECKPOINT_CONF}")
     return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 

@@ -105,25 +105,42 @@ def set_closure(edges: DataFrame, parent: str, child: str, root: Column | None =
     """(root, member, depth, leaf): everything reachable from each set, or from one root.
 
     Sets may contain sets. A member reached on several ways counts once, at its smallest
-    depth; a set that contains itself does not loop. Each round follows the links of the pairs
-    that the round before found first, so the work is bounded by pairs and links, not by paths.
+    depth; a set that contains itself does not loop. Links without an end are left out.
+
+    Pairs of sets are doubled: a shortest way longer than ``span`` goes through the set that it meets after
+    exactly ``span`` links, so one join of those pairs with all known ones finds every depth up to twice the
+    span. Rounds grow with the logarithm of the depth, and a pair is made in its own round only.
+    Members that are no sets, most of them all, are added once at the end.
     """
-    links = checkpoint(edges.select(F.col(parent).alias("parent"), F.col(child).alias("child")).distinct())
-    first = links if root is None else links.filter(F.col("parent") == root)
-    frontier = checkpoint(first.select(F.col("parent").alias("root"), F.col("child").alias("member"), F.lit(1).alias("depth")))
-    reached, depth = frontier, 1
-    while not frontier.isEmpty():
-        depth += 1
-        found = frontier.join(links, F.col("member") == F.col("parent")).select("root", F.col("child").alias("member"))
-        found = found.filter("member <> root").distinct()
-        frontier = checkpoint(
-            found.join(reached, ["root", "member"], "left_anti").withColumn("depth", F.lit(depth))
+    links = edges.select(F.col(parent).alias("parent"), F.col(child).alias("child")).dropna().distinct()
+    links = checkpoint(links)
+    sets = links.select(F.col("parent").alias("child")).distinct()
+    reached = checkpoint(
+        links.join(sets, "child", "left_semi")
+        .select(F.col("parent").alias("root"), F.col("child").alias("member"), F.lit(1).cast("long").alias("depth"))
+    )
+    span = 1
+    while not (ahead := reached.filter(F.col("depth") == span)).isEmpty():
+        further = reached.select(F.col("root").alias("_by"), "member", F.col("depth").alias("_more"))
+        found = (
+            ahead.select("root", F.col("member").alias("_by")).join(further, "_by").filter("member <> root")
+            .groupBy("root", "member").agg((F.min("_more") + span).alias("depth"))
         )
-        reached = reached.unionByName(frontier)
-    sets = links.select(F.col("parent").alias("member"), F.lit(False).alias("_leaf")).distinct()
-    return reached.join(sets, "member", "left").select(
-        "root", "member", "depth", F.coalesce("_leaf", F.lit(True)).alias("leaf")
+        reached = reached.unionByName(checkpoint(found.join(reached, ["root", "member"], "left_anti")))
+        span *= 2
+    roots = links.select(F.col("parent").alias("root")).distinct()
+    if root is not None:
+        reached, roots = (df.filter(F.col("root") == root) for df in (reached, roots))
+    holders = reached.unionByName(roots.select("root", F.col("root").alias("member"), F.lit(0).cast("long").alias("depth")))
+    leaves = (
+        links.join(sets, "child", "left_anti")
+        .join(holders.select("root", F.col("member").alias("parent"), "depth"), "parent")
+        .groupBy("root", F.col("child").alias("member")).agg((F.min("depth") + 1).alias("depth"))
     )
+    shown = [(reached, False), (leaves, True)]
+    return reduce(DataFrame.unionByName, [
+        df.select("root", "member", F.col("depth").cast("int").alias("depth"), F.lit(leaf).alias("leaf")) for df, leaf in shown
+    ])
 
 
 def unresolved_members(

@@ -114,6 +114,59 @@ def test_closure_has_no_row_limit(spark):
     assert found["s30"] == (60, False) and found["leaf7"] == (1, True) and "s0" not in found
 
 
+def test_closure_rounds_grow_with_the_logarithm(spark, monkeypatch):
+    """A chain of 1,000 sets, with shortcuts, a loop back, leaves and links without an end."""
+    rounds = []
+    monkeypatch.setattr(dictionaries, "checkpoint", lambda df: rounds.append(1) or checkpoint(df))
+    edges = [(f"s{i}", f"s{i + 1}") for i in range(999)] + [(f"s{i}", f"leaf{i % 40}") for i in range(0, 1000, 90)]
+    edges += [("s5", "s300"), ("s999", "s0"), ("s7", "s7"), ("s8", None), (None, "s9")]
+    frame = spark.createDataFrame(edges, "parent string, child string")
+    rows = dictionaries.set_closure(frame, "parent", "child", F.lit("s0")).collect()
+    assert len(rounds) <= 2 + 11
+    ways, found, depth, ring = {}, {}, 0, ["s0"]
+    for a, b in edges:
+        if a and b:
+            ways.setdefault(a, []).append(b)
+    while ring:
+        depth += 1
+        ring = [m for m in dict.fromkeys(b for a in ring for b in ways.get(a, [])) if m not in found and m != "s0"]
+        found.update(dict.fromkeys(ring, depth))
+    assert {r.member: (r.depth, r.leaf) for r in rows} == {m: (d, m not in ways) for m, d in found.items()}
+    assert len(rows) == len(found) and max(found.values()) > 600
+
+
+def test_closure_of_every_set(spark):
+    frame = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "x"), ("b", "x"), ("d", "d"), ("c", "a")], "p string, c string")
+    rows = {(r.root, r.member): (r.depth, r.leaf) for r in dictionaries.set_closure(frame, "p", "c").collect()}
+    assert rows == {
+        ("a", "b"): (1, False), ("a", "c"): (2, False), ("a", "x"): (2, True), ("b", "c"): (1, False), ("b", "a"): (2, False),
+        ("b", "x"): (1, True), ("c", "a"): (1, False), ("c", "b"): (2, False), ("c", "x"): (1, True), ("d", "d"): (1, False),
+    }
+    assert dictionaries.set_closure(frame.filter("false"), "p", "c").isEmpty()
+
+
+def test_similar_records_of_one_large_group(spark, no_broadcast, monkeypatch):
+    """Nine tenths of the records share a value: their candidates are met in many tasks, and found alike."""
+    n = 20_000
+    rows = spark.range(n).select(
+        "id", F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 500)).alias("town"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("t"), F.col("id") % 3000)).alias("phone"),
+    )
+    weights = {"town": 1, "phone": 20}
+    plain = joins.similar_records(rows, "id", weights, 3).collect()
+    monkeypatch.setattr(joins, "SMALL_TABLE", 1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dealt = joins.similar_records(rows, "id", weights, 3)
+        assert sorted(dealt.collect()) == sorted(plain)
+        keyed = rows.select(F.col("id").alias("_id"), F.lit(1).alias("_mask"), F.col("town").alias("_key"))
+        parts = joins._dealt(keyed, joins._large_groups(keyed, F.lit(n)))
+        sizes = [r["count"] for r in parts.repartition(8, "_mask", "_key", "_part").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == n and max(sizes) <= 2 * n / 8
+
+
 def test_line_ids_at_hundredfold_keys(spark):
     """Keys as large as in 100 times the largest test tables neither overflow nor collide."""
     n = 300_000
