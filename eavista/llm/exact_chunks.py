@@ -87,6 +87,8 @@ def exact_duplicates(docs: DataFrame, identify=chunk_id) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns. Repeated rows of one doc_id all stay."""
-    kept = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """The documents that stay, with all their columns. Repeated rows of one doc_id and text all stay."""
+    kept = exact_duplicates(docs).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
+    same = docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (sha256(whole_text(docs)) == kept["_kept_sha"])
+    return docs.join(kept, same, "left_semi")

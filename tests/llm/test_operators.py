@@ -433,3 +433,9 @@ def test_ambiguous_identifiers_are_told_apart_by_content(spark):
     docs = spark.createDataFrame([(1, "abc"), (2, "xyz"), (3, "abc"), (4, PROSE)], "doc_id long, text string")
     rows = {r.doc_id: r for r in exact_chunks.exact_duplicates(docs, weak).collect()}
     assert [(rows[i].keep_id, rows[i].group_size) for i in range(1, 5)] == [(3, 2), (2, 1), (3, 2), (4, 1)]
+
+
+def test_one_text_stays_once_where_ids_repeat_on_other_texts(spark):
+    docs = spark.createDataFrame([(5, "A"), (6, "A"), (5, "B"), (4, "B"), (None, "C"), (None, "")], "doc_id long, text string")
+    kept = exact_chunks.drop_exact_duplicates(docs).collect()
+    assert sorted((r.text, r.doc_id or 0) for r in kept) == [("", 0), ("A", 6), ("B", 5), ("C", 0)]
