@@ -158,9 +158,11 @@ def lk_registration_encounter(fx):
 
 
 @check("view_report_mapping", """
-SELECT m.concept_id, s.name AS source, t.code FROM fx_reference_map m, fx_reference_term t, fx_reference_source s
-WHERE m.concept_reference_term_id = t.concept_reference_term_id AND t.concept_source_id = s.concept_source_id
-  AND t.retired = 0 AND s.retired = 0 AND s.name IN ('LOCAL', 'CIEL')
+SELECT m.concept_id, s.name AS source, t.code
+FROM fx_reference_source s
+JOIN fx_reference_term t ON t.concept_source_id = s.concept_source_id AND t.retired = 0
+JOIN fx_reference_map m ON m.concept_reference_term_id = t.concept_reference_term_id
+WHERE s.retired = 0 AND s.name IN ('LOCAL', 'CIEL')
 """)
 def view_report_mapping(fx):
     return lookups.concept_mapping(fx.reference_map, fx.reference_term, fx.reference_source,

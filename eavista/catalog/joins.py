@@ -88,11 +88,12 @@ _DX, _DX_TEXT = CONCEPT_IDS[values.DIAGNOSIS], CONCEPT_IDS[values.DIAGNOSIS_TEXT
 
 
 @check("join_or_condition", f"""
-WITH t AS (SELECT obs_id, obs_group_id FROM fx_clinic_obs
-  WHERE voided = 0 AND concept_id IN ({_DX}, {_DX_TEXT}))
-SELECT obs_id, concept_id FROM fx_clinic_obs o WHERE voided = 0
-  AND (obs_group_id IN (SELECT obs_group_id FROM t WHERE obs_group_id IS NOT NULL)
-       OR obs_id IN (SELECT obs_id FROM t))
+WITH o AS (SELECT obs_id, obs_group_id, concept_id FROM fx_clinic_obs WHERE voided = 0),
+t AS (SELECT obs_id, obs_group_id FROM o WHERE concept_id IN ({_DX}, {_DX_TEXT})),
+found AS (
+  SELECT obs_id FROM o WHERE obs_group_id IN (SELECT obs_group_id FROM t WHERE obs_group_id IS NOT NULL)
+  UNION SELECT obs_id FROM t)
+SELECT obs_id, concept_id FROM o WHERE obs_id IN (SELECT obs_id FROM found)
 """)
 def join_or_condition(fx):
     live = active(fx.clinic["obs"]).select("obs_id", "obs_group_id", "concept_id")
