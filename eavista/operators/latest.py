@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eavista.session import checkpoint
-
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], *order: Column) -> DataFrame:
     """The first row of each key in the given order.
@@ -28,17 +26,56 @@ def newest(*columns: str) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in columns]
 
 
+#: Bounds of parts are picked from about so many sampled rows a part.
+SAMPLED = 32
+
+
+def _bounds(df: DataFrame, order: Sequence[str], parts: int) -> Column:
+    """At most ``parts - 1`` keys, ascending, that cut the rows into parts of about equal size.
+
+    The sample is the rows with a small hash of their order columns, so it is the same in every
+    run, and has about ``SAMPLED * parts`` rows of any table. Both steps are scalar subqueries.
+    """
+    total = df.agg(F.greatest(F.count("*"), F.lit(1)).cast("double")).scalar()
+    place = F.xxhash64(*order) / F.lit(2.0**64) + F.lit(0.5)
+    sampled = df.select(*order).filter(place * total < F.lit(float(SAMPLED * parts)))
+    keys = sampled.agg(F.array_sort(F.collect_set(F.struct(*order))).alias("keys")).filter(F.size("keys") > 0)
+    picked = F.transform(
+        F.sequence(F.lit(1), F.lit(parts - 1)),
+        lambda i: F.element_at("keys", (F.size("keys") * i / parts).cast("int") + 1),
+    )
+    return keys.select(F.array_distinct(picked)).scalar()
+
+
+def with_part(df: DataFrame, order: Sequence[str], parts: int) -> DataFrame:
+    """``df`` with ``_part``: how many bounds are below the row's key, by bisection."""
+    key, bounds = F.struct(*order), F.col("_bounds")
+    start = F.struct(F.lit(0).alias("low"), F.coalesce(F.size(bounds), F.lit(0)).alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        above = F.get(bounds, middle) < key
+        return F.when(at["low"] == at["high"], at).otherwise(F.struct(
+            F.when(above, middle + 1).otherwise(at["low"]).alias("low"),
+            F.when(above, at["high"]).otherwise(middle).alias("high"),
+        ))
+
+    part = F.aggregate(F.sequence(F.lit(1), F.lit(parts.bit_length())), start, halve, lambda at: at["low"])
+    return df.withColumn("_bounds", _bounds(df, order, parts)).withColumn("_part", part).drop("_bounds")
+
+
 def number_rows(df: DataFrame, name: str, *order: str, after: Column | int = 0) -> DataFrame:
     """Number all rows 1, 2, 3 … (plus ``after``) in a total order given by unique columns.
 
-    A range shuffle splits the order into balanced parts; the parts are checkpointed so that
-    their bounds cannot change, and each part is numbered on its own from the row counts of
-    the parts before it. No task sees more than one part.
+    Bounds from a sample by hash cut the order into balanced parts, also where the first order
+    column has few values; the parts are counted, and each is numbered on its own from the row
+    counts of the parts before it. No task sees more than one part and nothing is written: the
+    bounds depend on the rows alone, so a lost task repeats its numbers. ``df`` is read for the
+    count, the bounds, the parts and the numbers, all but the last with the order columns only, so
+    it must give the same rows each time (write it first where it does not). Nulls come first.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = checkpoint(
-        df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    )
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = with_part(df, order, parts)
     # at most `parts` rows
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

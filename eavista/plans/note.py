@@ -14,6 +14,7 @@ from eavista.operators.obs import (
 )
 from eavista.plans.history import latest_vitals_in_visit, with_visit_vitals
 from eavista.plans.registration import latest_registration
+from eavista.session import stage
 from eavista.sources.clinic import Clinic
 
 
@@ -74,7 +75,8 @@ def clinical_note(
         .join(clinic.live_patients(), "patient_id", "left_semi")
         .select("encounter_id", "patient_id", "visit_id", "encounter_datetime", "location_id")
     )
-    base = number_rows(base, "consult_id", "encounter_datetime", "encounter_id")
+    # the range's encounters, written once as many joins need them
+    base = stage(number_rows(base, "consult_id", "encounter_datetime", "encounter_id"), "consults")
     registered = latest_registration(clinic, base).drop("registration_datetime")
     latest = latest_vitals_in_visit(clinic, base)
     # the consults, the vitals of their visits and the registrations, in one pass

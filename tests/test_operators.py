@@ -4,12 +4,12 @@ import random
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from eavista import values
 from eavista.catalog.fixture import Fixture
 from eavista.functions import ages, clinical, text
-from eavista.operators import joins, migrate
+from eavista.operators import joins, latest, migrate
 from eavista.operators.filters import in_date_range, overlay, patient_or_range
 from eavista.operators.latest import carry_forward, latest_per_key, newest, number_rows
 from eavista.operators.lookups import Dictionary, latest_names
@@ -167,6 +167,30 @@ def test_number_rows_with_a_hot_key(spark):
     assert got == {r[0]: 101 + i for i, r in enumerate(ordered)}
 
 
+@pytest.mark.parametrize("n", [0, 1, 3, 4000])
+def test_numbers_of_any_order(spark, n):
+    """Nulls first, texts, decimals and times as order columns; few rows and none."""
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("é"), F.col("id") % 5)).alias("name"),
+        F.when(F.col("id") % 7 > 0, F.timestamp_seconds(F.col("id") % 11)).alias("at"),
+        (F.col("id") * -1).cast("decimal(20,2)").alias("id"),
+    )
+    found = [r.n for r in number_rows(df, "n", "name", "at", "id").orderBy("name", "at", "id").collect()]
+    assert found == list(range(1, n + 1))
+
+
+def test_numbers_are_the_same_in_every_run_and_nothing_is_written(spark, monkeypatch):
+    """Rows placed otherwise by another run give the same numbers, and parts are of about equal size."""
+    monkeypatch.setattr(DataFrame, "checkpoint", None)
+    n, parts = 20_000, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(n).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 50).alias("at"), "id")
+    again = rows.repartition(5, F.rand(1))
+    numbers = [{r.id: r.n for r in number_rows(df, "n", "at", "id").collect()} for df in (rows, again)]
+    assert numbers[0] == numbers[1] and sorted(numbers[0].values()) == list(range(1, n + 1))
+    sizes = [r["count"] for r in latest.with_part(rows, ("at", "id"), parts).groupBy("_part").count().collect()]
+    assert len(sizes) == parts and max(sizes) < 1.7 * n / parts
+
+
 def test_carry_forward(spark):
     rng = random.Random(2)
     rows = []
@@ -381,6 +405,36 @@ def test_declared_schema_needs_all_columns(spark):
         sites.with_declared_schema(spark.sql("SELECT 1 AS patient_id, 2 AS encounter_id"), sites.ENCOUNTER_EXTRACT)
 
 
+def _parts(rows, points):
+    conditions = sites.split_predicates("id", points)
+    met = rows.select("id", *[F.coalesce(F.expr(c), F.lit(False)).cast("int").alias(f"p{i}") for i, c in enumerate(conditions)])
+    assert met.filter(sum((F.col(f"p{i}") for i in range(len(conditions))), F.lit(0)) != 1).isEmpty()
+    return [r for r in met.agg(*[F.sum(f"p{i}") for i in range(len(conditions))]).first()]
+
+
+def test_split_predicates_are_disjoint_complete_and_balanced(spark, tmp_path):
+    """Ids that lie close together at one end, with gaps; even ranges would put nearly all rows in one part."""
+    path = str(tmp_path / "encounter")
+    spark.range(20_000).select(F.when(F.col("id") < 19_000, F.col("id")).otherwise(F.col("id") * 1_000_003).alias("id")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    points = sites.split_points(rows, "id", 16)
+    sizes = _parts(rows, points)
+    assert len(sizes) == 16 and sum(sizes) == 20_000 and max(sizes) <= 1.05 * 20_000 / 16
+    # null, older and newer ids than the points know
+    grown = rows.unionByName(spark.createDataFrame([(None,), (-5,), (10**15,)], "id bigint"))
+    assert sum(_parts(grown, points)) == 20_003
+    pushed = rows.filter(sites.split_predicates("id", points)[3])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id" in pushed
+
+
+def test_split_predicates_of_odd_tables(spark):
+    none = spark.createDataFrame([], "id bigint")
+    assert sites.split_predicates("id", sites.split_points(none, "id", 8)) == ["1 = 1"]
+    same = spark.createDataFrame([(7,)] * 50, "id bigint")
+    assert sites.split_points(same, "id", 8) == [7] and _parts(same, [7]) == [0, 50]
+    assert sites.split_points(same, "id", 1) == []
+
+
 def test_unknown_site(spark):
     with pytest.raises(ValueError):
         sites.consolidate({"nowhere": spark.range(1)})
