@@ -158,6 +158,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
 
+#: Lines of two words, or of enough letters of scripts without spaces, in DuckDB's regular expressions.
+_JUDGED = (
+    "(regexp_matches(bare, '[^ \\t-\\r][ \\t-\\r]+[^ \\t-\\r]') "
+    f"OR len(regexp_extract_all(bare, '{line_dedup.UNSPACED_PATTERN}')) >= {line_dedup.UNSPACED_LETTERS})"
+)
+
+
 @query("op6_line_dedup", f"""
 WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 lines AS (
@@ -165,18 +172,20 @@ lines AS (
     FROM (SELECT *, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM docs)
 ),
 spread AS (
-    SELECT bare FROM lines WHERE regexp_matches(bare, '[^ \\t-\\r][ \\t-\\r]+[^ \\t-\\r]')
+    SELECT bare FROM lines WHERE {_JUDGED}
     GROUP BY bare HAVING count(DISTINCT source) >= {line_dedup.SITES}
 ),
 marked AS (SELECT *, bare IN (SELECT bare FROM spread) AS hit FROM lines),
+copies AS (SELECT text FROM docs GROUP BY text HAVING count(DISTINCT doc_id) > 1),
 by_doc AS (
     SELECT doc_id, text, count(*) AS n_lines, count(*) FILTER (hit) AS hits,
-           100 * coalesce(sum(length(line)) FILTER (hit), 0) <= {line_dedup.MAX_SHARE} * length(text) AS few,
+           100 * coalesce(sum(length(line)) FILTER (hit), 0) > {line_dedup.MOST} * length(text)
+               AND text IN (SELECT text FROM copies) AS whole_copy,
            coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT hit), '') AS clean
     FROM marked GROUP BY doc_id, text
 )
-SELECT doc_id, n_lines, CASE WHEN few THEN hits ELSE 0 END AS n_removed,
-       sha256(CASE WHEN few AND hits > 0 THEN clean ELSE text END) AS kept_sha256
+SELECT doc_id, n_lines, CASE WHEN whole_copy THEN 0 ELSE hits END AS n_removed,
+       sha256(CASE WHEN whole_copy OR hits = 0 THEN text ELSE clean END) AS kept_sha256
 FROM by_doc
 """)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

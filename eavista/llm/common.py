@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A word is a run of characters other than the six ASCII spaces.
@@ -38,6 +40,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), lambda bound: body(bound)), 1)
+
+
 def packed(df: DataFrame) -> Column:
     """All columns as one struct, so that names of working columns can not clash with them."""
     return F.struct(*[df[c] for c in df.columns]).alias("row")

@@ -27,12 +27,11 @@ columns are ignored; a table without words leaves ``MIN_RATIO`` as the threshold
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
-from eavista.llm.common import sha256, whole_text
+from eavista.llm.common import let, sha256, whole_text
 from eavista.session import stage
 
 
@@ -93,11 +92,6 @@ LEAST = 16
 _BLOCK = 256
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, with ``value`` computed once."""
-    return F.element_at(F.transform(F.array(value), lambda bound: body(bound)), 1)
-
-
 def _positions(text: Column, pattern: str, group: int) -> Column:
     """Array of (start, end, value) of all matches, with the text of the group in ``value``."""
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g))
@@ -135,7 +129,7 @@ def _positions(text: Column, pattern: str, group: int) -> Column:
             block, F.struct(F.element_at(before, b + 1).alias("at"), nothing.alias("out")), step, lambda d: d["out"]
         )))
 
-    spans = _let(steps, lambda s: _let(blocked(s), lambda blocks: _let(begins(blocks), lambda b: placed(blocks, b))))
+    spans = let(steps, lambda s: let(blocked(s), lambda blocks: let(begins(blocks), lambda b: placed(blocks, b))))
     return F.filter(spans, lambda s: s["end"] > s["start"])
 
 

@@ -224,6 +224,33 @@ def test_footer_goes_and_copies_stay(spark, odd):
     assert {r.text for r in line_dedup.remove_boilerplate(copies).collect()} == {page}
 
 
+def test_mostly_boilerplate_goes_unless_it_is_a_copy(spark):
+    footer = "A long footer that stands on every page of all the sites."
+    rows = [(i, f"own {i}\n{footer}", "en", f"s{i}", 0) for i in range(6)]
+    rows += [(20, footer, "en", "s1", 0), (20, footer, "en", "s1", 0), (21, f"{footer}\n\n{footer}\n", "en", "s2", 0)]
+    left = {(r.doc_id, r.text) for r in line_dedup.remove_boilerplate(spark.createDataFrame(rows, COLUMNS)).collect()}
+    assert left == {(i, f"own {i}") for i in range(6)} | {(20, ""), (21, "\n")}
+
+
+def test_boilerplate_in_scripts_without_spaces(spark):
+    lines = ("版权所有，未经许可不得转载", "このサイトについてのお問い合わせ", "สงวนลิขสิทธิ์ทุกประการ")
+    short = "首页"
+    rows = [(10 * k + i, f"{unlike(10 * k + i, 30)}\n{line}\n{short}", "zh", f"s{i}", 0) for k, line in enumerate(lines) for i in range(5)]
+    left = [r.text for r in line_dedup.remove_boilerplate(spark.createDataFrame(rows, COLUMNS)).collect()]
+    assert all(text.endswith(f"\n{short}") and not any(line in text for line in lines) for text in left)
+
+
+def test_text_is_shuffled_once(spark, odd):
+    """The row is carried through the join with its text in it, and no second copy beside it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = line_dedup.remove_boilerplate(odd)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [line for line in plan.splitlines() if "Project" in line and "AS row#" in line]
+    assert len(scans) == 1 and " AS text#" not in scans[0]
+
+
 PAGES = "page_id long, url string"
 
 
