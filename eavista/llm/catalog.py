@@ -43,10 +43,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixing_sql() -> str:
-    """The rounds of raking and scaling, one common table each."""
+    """Rounds of raking as a recursive table that ends by the operator's rule, then weights and targets within reach."""
     m = mixing
+    room = m.KEEP ** (-1 / len(m.MARGINS)) - 1
     steps = [f"""
-WITH docs AS (
+WITH RECURSIVE docs AS (
     SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
            len(regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+'))::BIGINT AS n_tokens
     FROM documents
@@ -58,29 +59,41 @@ marked AS (
     FROM docs
 ),
 sums AS (SELECT source, lang, topic, sum(n_tokens) AS tokens FROM marked GROUP BY ALL HAVING sum(n_tokens) > 0),
-w0 AS (SELECT source, lang, topic, tokens / (SELECT sum(tokens) FROM sums) AS share, tokens / (SELECT sum(tokens) FROM sums) AS weight FROM sums)"""]
+own AS MATERIALIZED (SELECT source, lang, topic, tokens / (SELECT sum(tokens) FROM sums) AS share FROM sums)"""]
     for margin in m.MARGINS:
         steps.append(f"""
-own_{margin} AS (SELECT {margin} AS value, pow(sum(share), {m.POWER[margin]}) AS wanted FROM w0 GROUP BY ALL),
-target_{margin} AS MATERIALIZED (SELECT value, wanted / (SELECT sum(wanted) FROM own_{margin}) AS target FROM own_{margin})""")
-    at = 0
-    for margin in m.MARGINS * m.ROUNDS:
-        steps.append(f"""
-w{at + 1} AS MATERIALIZED (
-    SELECT source, lang, topic, share, weight * (target / sum(weight) OVER (PARTITION BY {margin})) AS weight
-    FROM w{at} JOIN target_{margin} ON {margin} = value
-)""")
-        at += 1
-    steps.append(f"\nscale0 AS (SELECT {m.KEEP}::DOUBLE AS scale)")
-    for k in range(m.SCALINGS):
-        full = f"weight / share * scale >= 1"
-        steps.append(f"""
-scale{k + 1} AS MATERIALIZED (
-    SELECT greatest(any_value(scale), coalesce(({m.KEEP} - coalesce(sum(share) FILTER ({full}), 0)) / nullif(sum(weight) FILTER (NOT ({full})), 0), any_value(scale))) AS scale
-    FROM w{at}, scale{k}
+own_{margin} AS (SELECT {margin} AS value, sum(share) AS part, pow(sum(share), {m.POWER[margin]}) AS wish FROM own GROUP BY ALL),
+wanted_{margin} AS (SELECT value, part, wish / (SELECT sum(wish) FROM own_{margin}) AS wanted FROM own_{margin}),
+moves_{margin} AS (
+    SELECT value, part, greatest(least(wanted - part, part * {room!r}), 0) AS gain, greatest(part - wanted, 0) AS loss FROM wanted_{margin}
+),
+target_{margin} AS MATERIALIZED (
+    SELECT value, part + gain - loss * coalesce((SELECT sum(gain) / nullif(sum(loss), 0) FROM moves_{margin}), 0) AS target FROM moves_{margin}
 )""")
+    targets = ", ".join(f"target_{margin}.target AS t_{margin}" for margin in m.MARGINS)
+    joins = " ".join(f"JOIN target_{margin} ON {margin} = target_{margin}.value" for margin in m.MARGINS)
+    once = "(SELECT *, weight AS before FROM raked WHERE going)"
+    for margin in m.MARGINS:
+        once = f"(SELECT * REPLACE (weight * (t_{margin} / sum(weight) OVER (PARTITION BY {margin})) AS weight) FROM {once})"
+    error = ", ".join(f"abs(sum(weight) OVER (PARTITION BY {margin}) / t_{margin} - 1)" for margin in m.MARGINS)
+    moved = ", ".join(f"sum(abs(weight - before)) OVER (PARTITION BY {margin}) / t_{margin}" for margin in m.MARGINS)
     steps.append(f"""
-cells AS (SELECT source, lang, topic, round(least(weight / share * scale, 1.0), {m.PLACES}) AS probability FROM w{at}, scale{m.SCALINGS})""")
+raked AS (
+    SELECT 0 AS k, source, lang, topic, share, share::DOUBLE AS weight, {targets}, true AS going FROM own {joins}
+    UNION ALL
+    SELECT k + 1, source, lang, topic, share, weight, t_source, t_lang, t_topic,
+           k + 1 < {m.ROUNDS} OR max(error) OVER () > {m.TOLERANCE} AND max(moved) OVER () > {m.STILL} * max(error) OVER ()
+    FROM (SELECT *, greatest({error}) AS error, greatest({moved}) AS moved FROM {once})
+),
+ended AS MATERIALIZED (SELECT * FROM raked WHERE NOT going),
+reach AS (
+    SELECT CASE WHEN max(weight / share) <= 1 / {m.KEEP}::DOUBLE THEN 1.0::DOUBLE
+                ELSE (1 / {m.KEEP}::DOUBLE - 1) / (max(weight / share) - 1) END AS part FROM ended
+),
+cells AS (
+    SELECT source, lang, topic, round(least((share + part * (weight - share)) / share * {m.KEEP}::DOUBLE, 1.0), {m.PLACES}) AS probability
+    FROM ended, reach
+)""")
     return ",".join(steps) + f"""
 SELECT doc_id, source, lang, topic, n_tokens, coalesce(probability, 1.0) AS probability,
        ('0x' || substr(md5(doc_id || ':{m.SEED}'), 1, 12))::BIGINT / {16**12}.0 < coalesce(probability, 1.0) AS selected

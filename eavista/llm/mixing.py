@@ -4,19 +4,24 @@ Tokens are summed once into cells of (source, language, topic). Rounds of raking
 weights so that the totals of each margin meet its targets in turn, until every total is within
 ``TOLERANCE`` of its target, as a part of the target. Targets that the filled cells can not all meet
 (a language of one source, say, with another target than that source) have no such end: then rounds go
-on until one moves no more than ``SETTLED`` of any target, and a warning names the error that stays.
-A document is then kept with the probability min(1, scale x raked share / own share) of its cell, with the
-scale solved so that the expected share of tokens kept is ``KEEP``: steps go on until no more cells
-are kept whole. Whether a document is kept depends on a hash of its doc_id and ``SEED`` only, so a
-lost task repeats its choice.
+on until one moves less than ``STILL`` of the error that stays, and a warning names that error.
+
+A document is kept with the probability keep x raked share / own share of its cell. No probability is cut
+at one, since that would undo the raking. Instead, default targets go only as far from the own shares as a
+sample of ``keep`` of the tokens can: a margin's value gains by a third of the room (as a factor), values
+that lose give what the others gain, and where cells at the end still ask for more than they have, weights and
+targets are moved back together towards the own shares, by one factor for all cells, so that totals still
+meet targets. Given targets are met as they are, and the sample is made smaller where a cell
+would have to be kept more than whole. Whether a document is kept depends on a hash of its doc_id and
+``SEED`` only, so a lost task repeats its choice.
 
 Cells, margins and targets stay DataFrames, as there may be as many sources as sites on the web; a
-written table cuts the plan after every round. The driver sees one row a round of raking or scaling.
+written table cuts the plan after every round. The driver sees one row a round of raking.
 
 Defined cases: null source, lang or topic count as the empty name; a null text has no tokens, and a cell
 without tokens is kept whole as no weight can reach it; an empty table gives an empty result; repeated
-rows are kept or dropped together; other columns are kept as they are. Targets are shares of tokens by
-default ``share ** POWER``, rescaled to one; values without a given target keep their own share.
+rows are kept or dropped together; other columns are kept as they are. Default targets go from the own shares
+towards ``share ** POWER``, rescaled to one; values without a given target keep their own share.
 """
 
 from __future__ import annotations
@@ -31,16 +36,18 @@ from eavista.session import stage
 #: Default targets: a margin's own shares to this power. Below one, small values gain.
 POWER = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 MARGINS = tuple(POWER)
-#: Rounds of raking before the first test of convergence, and steps of scaling before the first of the scale.
-ROUNDS, SCALINGS = 5, 4
-#: Parts of a target: the largest error of a margin's total, and the weight that a settled round still moves.
-#: The check SQL has ROUNDS rounds, which leave 8.4e-6 at sf0.01: a smaller tolerance would leave its result there.
-TOLERANCE, SETTLED = 1e-5, 1e-8
+#: Rounds of raking before the first test of convergence.
+ROUNDS = 4
+#: The largest error of a margin's total, as a part of its target (drawing documents adds far more), and the part
+#: of that error which a round still moves.
+TOLERANCE, STILL = 1e-4, 1e-2
 #: Expected share of all tokens that is kept.
 KEEP = 0.9
 SEED = "mix-1"
-#: Shares and probabilities are rounded to so many places.
-PLACES = 9
+#: Probabilities are rounded to so many places.
+PLACES = 6
+#: Cells that are sent to every task; more are joined with documents dealt to so many parts of a cell.
+SENT_CELLS, PARTS = 100_000, 64
 #: Fixed values of the default topic: bars that make a table, and words of a note and of an article.
 TABLE_BARS, NOTE_WORDS, ARTICLE_WORDS = 10, 100, 1000
 
@@ -72,17 +79,25 @@ def _marked(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_targets(cells: DataFrame, margin: str, given: DataFrame | None) -> DataFrame:
-    """``cells`` with target_<margin>: shares that sum to one over the margin's values."""
+def _with_targets(cells: DataFrame, margin: str, given: DataFrame | None, keep: float) -> DataFrame:
+    """``cells`` with own_<margin> and target_<margin>: shares that each sum to one over the margin's values."""
     own = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("share").alias("own"))
     if given is None:
-        wanted = own.select("value", F.pow("own", F.lit(POWER[margin])).alias("wanted"))
+        wanted = own.select("value", "own", F.pow("own", F.lit(POWER[margin])).alias("wanted"))
     else:
         wanted = own.join(given.select("value", "share"), "value", "left").select(
-            "value", F.coalesce("share", "own").alias("wanted")
+            "value", "own", F.coalesce("share", "own").alias("wanted")
         )
     total = wanted.agg(F.sum("wanted")).first()[0]
-    target = wanted.select("value", (F.col("wanted") / F.lit(total or 1.0)).alias(f"target_{margin}"))
+    wanted = wanted.withColumn("wanted", F.col("wanted") / F.lit(total or 1.0))
+    target = F.col("wanted")
+    if given is None:
+        room = keep ** (-1 / len(MARGINS)) - 1
+        gain = F.greatest(F.least(F.col("wanted") - F.col("own"), F.col("own") * room), F.lit(0.0))
+        loss = F.greatest(F.col("own") - F.col("wanted"), F.lit(0.0))
+        row = wanted.agg(F.sum(gain).alias("gain"), F.sum(loss).alias("loss")).first()
+        target = F.col("own") + gain - loss * F.lit(row["gain"] / row["loss"] if row["loss"] else 0.0)
+    target = wanted.select("value", F.col("own").alias(f"own_{margin}"), target.alias(f"target_{margin}"))
     return cells.join(target, F.col(margin) == F.col("value")).drop("value")
 
 
@@ -100,7 +115,7 @@ def _progress(raked: DataFrame) -> tuple[float, float]:
     return row["error"] or 0.0, row["moved"] or 0.0
 
 
-def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """``cells`` (the margins and their targets, share) with ``weight``, raked so that every margin meets its targets.
 
     At least ``rounds`` rounds are done.
@@ -118,43 +133,54 @@ def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         raked, done = stage(raked, "raked"), done + 1
         if done >= rounds:
             error, moved = _progress(raked)
-            if not error > TOLERANCE:
+            if not error > tolerance:
                 break
-            if moved <= SETTLED:
+            if moved <= STILL * error:
                 warnings.warn(f"the targets can not all be met: a margin stays off by {error:.3g} of its target")
                 break
         raked = raked.drop("before")
     return raked.drop("before")
 
 
+def _most(cells: DataFrame) -> float:
+    """The largest factor by which a cell's weight is above its share; 1 at least."""
+    return max(cells.agg(F.max(F.col("weight") / F.col("share"))).first()[0] or 1.0, 1.0)
+
+
+def within_reach(cells: DataFrame, keep: float = KEEP) -> DataFrame:
+    """``cells`` with weights and targets moved towards the own shares, until a sample of ``keep`` needs no cell more than whole.
+
+    Totals are linear in the weights, so totals that meet their targets meet the moved targets.
+    """
+    room, most = 1 / keep, _most(cells)
+    part = F.lit(1.0 if most <= room else (room - 1) / (most - 1))
+    moved = {"weight": F.col("share") + part * (F.col("weight") - F.col("share"))}
+    for margin in MARGINS:
+        own, target = F.col(f"own_{margin}"), F.col(f"target_{margin}")
+        moved[f"target_{margin}"] = own + part * (target - own)
+    return cells.withColumns(moved)
+
+
 def probabilities(cells: DataFrame, keep: float = KEEP) -> DataFrame:
-    """``cells`` (share, weight) with ``probability``, such that the expected share of tokens kept is ``keep``."""
-    ratio = F.col("weight") / F.col("share")
-    scale, done = keep, 0
-    while True:
-        row = cells.agg(
-            F.sum(F.when(ratio * scale >= 1, F.col("share")).otherwise(0.0)).alias("full"),
-            F.sum(F.when(ratio * scale >= 1, 0.0).otherwise(F.col("weight"))).alias("rest"),
-        ).first()
-        if not row["rest"]:
-            break
-        # Newton's steps on a concave sum of min(scale x weight, share): from below, and ended by a step without a new full cell.
-        before, done = scale, done + 1
-        scale = max(scale, (keep - row["full"]) / row["rest"])
-        if done >= SCALINGS and scale <= before * (1 + 1e-12):
-            break
-    return cells.withColumn("probability", F.round(F.least(ratio * scale, F.lit(1.0)), PLACES))
+    """``cells`` (share, weight) with ``probability``; ``keep`` of all tokens are kept, less where a cell would be kept more than whole."""
+    can = 1 / _most(cells)
+    if can < keep * (1 - 1e-9):
+        warnings.warn(f"the targets are met with {can:.3g} of all tokens, not with {keep:.3g}")
+    return cells.withColumn(
+        "probability", F.round(F.least(F.col("weight") / F.col("share") * min(keep, can), F.lit(1.0)), PLACES)
+    )
 
 
 def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
-    """source, lang, topic, share, weight, probability: one row for each cell with tokens."""
+    """source, lang, topic, share, weight, probability, own and target shares: one row for each cell with tokens."""
     cells = _marked(docs).groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).filter("tokens > 0")
     cells = stage(cells, "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     cells = cells.withColumn("share", F.col("tokens") / F.lit(float(total))).drop("tokens")
     for margin in MARGINS:
-        cells = _with_targets(cells, margin, (targets or {}).get(margin))
-    return stage(probabilities(rake(stage(cells, "targets")), keep), "probabilities")
+        cells = _with_targets(cells, margin, (targets or {}).get(margin), keep)
+    raked = rake(stage(cells, "targets"))
+    return stage(probabilities(raked if targets else within_reach(raked, keep), keep), "probabilities")
 
 
 def _with_choice(docs: DataFrame, targets: dict[str, DataFrame] | None, keep: float) -> DataFrame:
@@ -162,8 +188,15 @@ def _with_choice(docs: DataFrame, targets: dict[str, DataFrame] | None, keep: fl
     cells = calibrated(docs, targets, keep).select(
         *[F.col(m).alias(f"cell_{m}") for m in MARGINS], F.col("probability").alias("found")
     )
-    same = [F.col(m) == F.col(f"cell_{m}") for m in MARGINS]
-    joined = _marked(docs).join(cells, same[0] & same[1] & same[2], "left")
+    marked, (source, lang, topic) = _marked(docs), [F.col(m) == F.col(f"cell_{m}") for m in MARGINS]
+    same = source & lang & topic
+    if cells.count() <= SENT_CELLS:
+        cells = F.broadcast(cells)
+    else:
+        marked = marked.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(PARTS)))
+        cells = cells.withColumn("cell_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        same = same & (F.col("part") == F.col("cell_part"))
+    joined = marked.join(cells, same, "left")
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(SEED)).cast("binary"))
     chance = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
     return joined.withColumn("probability", F.coalesce("found", F.lit(1.0))).withColumn(
