@@ -215,10 +215,12 @@ def test_weights_and_targets_move_back_until_no_cell_is_kept_more_than_whole(spa
     assert np.allclose(found.probability, [0.1, 0.25, 1.0])
 
 
-def test_many_cells_are_joined_by_parts(spark, odd, monkeypatch):
-    sent = sorted(mixing.mixture(odd).collect(), key=repr)
+def test_many_cells_are_joined_by_parts(spark, monkeypatch):
+    rows = [(i, unlike(i, 1 + i % 7), f"l{i % 2}", f"s{i % 3}", 0) for i in range(60)] + [(60, None, None, None, 0)] * 2
+    docs = spark.createDataFrame(rows, COLUMNS)
+    sent = sorted(mixing.mixture(docs).collect(), key=repr)
     monkeypatch.setattr(mixing, "SENT_CELLS", 0)
-    assert sorted(mixing.mixture(odd).collect(), key=repr) == sent
+    assert len(sent) == 62 and sorted(mixing.mixture(docs).collect(), key=repr) == sent
 
 
 def test_targets_that_contradict_end_with_a_warning(spark):
