@@ -7,6 +7,7 @@ from eavista import values
 from eavista.catalog import fixture, joins as join_queries
 from eavista.catalog.fixture import Fixture, cid
 from eavista.operators import joins, latest
+from eavista.session import scratch
 from tests.compare import SF_DIR
 
 
@@ -39,3 +40,21 @@ def test_lines_meet_their_encounters_where_they_lie(many, no_broadcast):
     plan = _plan(many.view("fx_lines").join(keys, F.col("l_orderkey") == F.col("encounter_id"), "left_semi"))
     assert "SortMergeJoin [l_orderkey" in plan and "Bucketed: true" in plan
     assert "hashpartitioning(l_orderkey" not in plan
+
+
+def test_removed_lines_are_written_again(spark, many):
+    with scratch(spark):
+        assert not many.clinic["obs"].isEmpty()
+    assert not many.clinic["obs"].isEmpty()
+
+
+def test_seeds_without_a_group_are_not_looked_up(spark, no_broadcast):
+    """Groups spread over encounters, a group without a seed, and seeds without a group."""
+    rows = [(1, 50, 1), (2, 50, 2), (3, 60, 2), (4, None, 1), (5, None, 2), (6, 70, 1), (7, 70, 1)]
+    obs = spark.createDataFrame(rows, "obs_id bigint, obs_group_id bigint, concept_id int")
+    seeds = obs.filter("concept_id = 1")
+    found = joins.related_obs(obs, seeds)
+    assert _plan(found).count("SortMergeJoin") == 1
+    assert sorted(r.obs_id for r in found.collect()) == [1, 2, 4, 6, 7]
+    by_id = joins.related_obs(obs, seeds.select("obs_id", "obs_group_id"))
+    assert sorted(found.collect()) == sorted(by_id.collect())
