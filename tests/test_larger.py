@@ -48,6 +48,13 @@ def test_removed_lines_are_written_again(spark, many):
     assert not many.clinic["obs"].isEmpty()
 
 
+def test_bucketed_table_has_what_the_pivot_reads(many):
+    stored = many.bucketed_obs()
+    wanted = {cid(code) for _, code, _ in values.VITALS_MEASURES}
+    assert {r[0] for r in stored.select("concept_id").distinct().collect()} <= wanted
+    assert "date_created" not in stored.columns
+
+
 def test_seeds_without_a_group_are_not_looked_up(spark, no_broadcast):
     """Groups spread over encounters, a group without a seed, and seeds without a group."""
     rows = [(1, 50, 1), (2, 50, 2), (3, 60, 2), (4, None, 1), (5, None, 2), (6, 70, 1), (7, 70, 1)]
