@@ -65,3 +65,8 @@ def test_seeds_without_a_group_are_not_looked_up(spark, no_broadcast):
     assert sorted(r.obs_id for r in found.collect()) == [1, 2, 4, 6, 7]
     by_id = joins.related_obs(obs, seeds.select("obs_id", "obs_group_id"))
     assert sorted(found.collect()) == sorted(by_id.collect())
+
+
+def test_many_observations_are_not_sorted_for_a_few_ids(spark, no_broadcast):
+    plan = _plan(join_queries.semi_join_in(Fixture.of(spark, SF_DIR)))
+    assert "ShuffledHashJoin" in plan
