@@ -70,3 +70,15 @@ def test_seeds_without_a_group_are_not_looked_up(spark, no_broadcast):
 def test_many_observations_are_not_sorted_for_a_few_ids(spark, no_broadcast):
     plan = _plan(join_queries.semi_join_in(Fixture.of(spark, SF_DIR)))
     assert "ShuffledHashJoin" in plan
+
+
+def test_parts_are_found_in_generated_code(spark):
+    """Every number of parts and rows: a part is the number of bounds below the row's key."""
+    for rows, parts in ((0, 2), (1, 2), (7, 8), (300, 5), (1000, 48)):
+        df = spark.range(rows).select((F.col("id") * 37 % 1009).alias("n"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("m"))
+        placed = latest.with_part(df, ["m", "n"], parts)
+        assert "aggregate(" not in _plan(placed) and placed.columns == ["n", "m", "_part"]
+        bounds = [tuple(b) for b in df.select(latest._bounds(df, ["m", "n"], parts).alias("b")).first().b or []] if rows else []
+        low = lambda r: (r[0] is not None, r[0] or 0, r[1])
+        for r in placed.collect():
+            assert r._part == sum(low(b) < low((r.m, r.n)) for b in bounds)
