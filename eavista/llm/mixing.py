@@ -15,13 +15,17 @@ meet targets. Given targets are met as they are, and the sample is made smaller
 would have to be kept more than whole. Whether a document is kept depends on a hash of its doc_id and
 ``SEED`` only, so a lost task repeats its choice.
 
+With ``repeats`` a document may come several times: keep x raked share / own share is then its expected number
+of copies. Default targets are the full powers of the own shares, targets are met whole, and the copies hold ``keep`` of
+the tokens in expectation. ``copies`` has the whole part of that number, and one more by the same hash.
+
 Cells, margins and targets stay DataFrames, as there may be as many sources as sites on the web; a
 written table cuts the plan after every round. The driver sees one row a round of raking.
 
 Defined cases: null source, lang or topic count as the empty name; a null text has no tokens, and a cell
 without tokens is kept whole as no weight can reach it; an empty table gives an empty result; repeated
 rows are kept or dropped together; other columns are kept as they are. Default targets go from the own shares
-towards ``share ** POWER``, rescaled to one; values without a given target keep their own share.
+towards ``share ** POWER``, rescaled to one (all the way with ``repeats``); values without a given target keep their own share.
 """
 
 from __future__ import annotations
@@ -79,7 +83,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_targets(cells: DataFrame, margin: str, given: DataFrame | None, keep: float) -> DataFrame:
+def _with_targets(cells: DataFrame, margin: str, given: DataFrame | None, keep: float, repeats: bool) -> DataFrame:
     """``cells`` with own_<margin> and target_<margin>: shares that each sum to one over the margin's values."""
     own = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("share").alias("own"))
     if given is None:
@@ -91,7 +95,7 @@ def _with_targets(cells: DataFrame, margin: str, given: DataFrame | None, keep:
     total = wanted.agg(F.sum("wanted")).first()[0]
     wanted = wanted.withColumn("wanted", F.col("wanted") / F.lit(total or 1.0))
     target = F.col("wanted")
-    if given is None:
+    if given is None and not repeats:
         room = keep ** (-1 / len(MARGINS)) - 1
         gain = F.greatest(F.least(F.col("wanted") - F.col("own"), F.col("own") * room), F.lit(0.0))
         loss = F.greatest(F.col("own") - F.col("wanted"), F.lit(0.0))
@@ -171,22 +175,35 @@ def probabilities(cells: DataFrame, keep: float = KEEP) -> DataFrame:
     )
 
 
-def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
-    """source, lang, topic, share, weight, probability, own and target shares: one row for each cell with tokens."""
+def expected_copies(cells: DataFrame, keep: float = KEEP) -> DataFrame:
+    """``cells`` (share, weight) with ``expected``, the copies of each document, and ``probability`` of one at least."""
+    expected = F.round(F.col("weight") / F.col("share") * keep, PLACES)
+    return cells.withColumn("expected", expected).withColumn("probability", F.least("expected", F.lit(1.0)))
+
+
+def calibrated(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, repeats: bool = False
+) -> DataFrame:
+    """source, lang, topic, share, weight, probability, own and target shares: one row for each cell with tokens.
+
+    With ``repeats`` also expected, the number of copies.
+    """
     cells = _marked(docs).groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).filter("tokens > 0")
     cells = stage(cells, "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     cells = cells.withColumn("share", F.col("tokens") / F.lit(float(total))).drop("tokens")
     for margin in MARGINS:
-        cells = _with_targets(cells, margin, (targets or {}).get(margin), keep)
+        cells = _with_targets(cells, margin, (targets or {}).get(margin), keep, repeats)
     raked = rake(stage(cells, "targets"))
+    if repeats:
+        return stage(expected_copies(raked, keep), "probabilities")
     return stage(probabilities(raked if targets else within_reach(raked, keep), keep), "probabilities")
 
 
-def _with_choice(docs: DataFrame, targets: dict[str, DataFrame] | None, keep: float) -> DataFrame:
-    """``_marked`` with probability and selected."""
-    cells = calibrated(docs, targets, keep).select(
-        *[F.col(m).alias(f"cell_{m}") for m in MARGINS], F.col("probability").alias("found")
+def _with_choice(docs: DataFrame, targets: dict[str, DataFrame] | None, keep: float, repeats: bool) -> DataFrame:
+    """``_marked`` with probability and selected; with ``repeats`` also copies."""
+    cells = calibrated(docs, targets, keep, repeats).select(
+        *[F.col(m).alias(f"cell_{m}") for m in MARGINS], F.col("expected" if repeats else "probability").alias("found")
     )
     marked, (source, lang, topic) = _marked(docs), [F.col(m) == F.col(f"cell_{m}") for m in MARGINS]
     same = source & lang & topic
@@ -199,17 +216,28 @@ def _with_choice(docs: DataFrame, targets: dict[str, DataFrame] | None, keep: fl
     joined = marked.join(cells, same, "left")
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(SEED)).cast("binary"))
     chance = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
-    return joined.withColumn("probability", F.coalesce("found", F.lit(1.0))).withColumn(
+    found = F.coalesce("found", F.lit(1.0))
+    chosen = joined.withColumn("probability", F.least(found, F.lit(1.0))).withColumn(
         "selected", chance < F.col("probability")
     )
-
-
-def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, probability, selected for every row."""
-    chosen = _with_choice(docs, targets, keep)
-    return chosen.select("doc_id", *MARGINS, "n_tokens", "probability", "selected")
-
-
-def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
-    """The selected documents, with all their columns."""
-    return unpacked(_with_choice(docs, targets, keep).filter("selected"), docs.columns)
+    if not repeats:
+        return chosen
+    return chosen.withColumn("copies", F.floor(found) + (chance < found - F.floor(found)).cast("long"))
+
+
+def mixture(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, repeats: bool = False
+) -> DataFrame:
+    """doc_id, source, lang, topic, n_tokens, probability, selected for every row; with ``repeats`` also copies."""
+    chosen = _with_choice(docs, targets, keep, repeats)
+    return chosen.select("doc_id", *MARGINS, "n_tokens", "probability", "selected", *["copies"] * repeats)
+
+
+def sample(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, repeats: bool = False
+) -> DataFrame:
+    """The selected documents, with all their columns; with ``repeats`` one row a copy."""
+    chosen = _with_choice(docs, targets, keep, repeats).filter("selected")
+    if repeats:
+        chosen = chosen.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return unpacked(chosen, docs.columns)

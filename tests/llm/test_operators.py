@@ -200,6 +200,32 @@ def test_default_targets_are_met_by_the_sample_in_expectation(spark):
         assert ((target - own) * (wish - own) >= -1e-12).all() and (target - own).abs().max() > 1e-3
 
 
+def test_full_targets_are_met_by_copies_of_the_share_to_keep(spark):
+    """Expected copies meet the full powers of the own shares and hold KEEP of the tokens; copies round them by chance."""
+    rng = np.random.default_rng(2)
+    rows = [
+        (i, unlike(i, int(rng.integers(1, 300))), f"l{int(rng.zipf(1.7)) % 4}", f"s{int(rng.zipf(1.4)) % 9}", 0) for i in range(1500)
+    ]
+    docs = spark.createDataFrame([*rows, (1500, None, "l9", None, 0)], COLUMNS)
+    cells = mixing.calibrated(docs, repeats=True).toPandas()
+    kept = cells.share * cells.expected
+    assert abs(kept.sum() - mixing.KEEP) < 1e-5 and cells.expected.max() > 2 and cells.probability.max() <= 1
+    for margin in mixing.MARGINS:
+        own = cells.share.groupby(cells[margin]).sum()
+        wish = own ** mixing.POWER[margin] / (own ** mixing.POWER[margin]).sum()
+        assert (kept.groupby(cells[margin]).sum() / kept.sum() / wish - 1).abs().max() < 1e-3
+    expected = {(r.source, r.lang, r.topic): r.expected for r in cells.itertuples()}
+    found = mixing.mixture(docs, repeats=True).collect()
+    assert len(found) == 1501 and {r.doc_id: r.copies for r in found}[1500] == 1
+    for r in found:
+        wanted = expected.get((r.source, r.lang, r.topic), 1.0)
+        assert r.copies - int(wanted) in (0, 1) and r.selected == (r.copies > 0) and r.probability == min(wanted, 1.0)
+    assert abs(sum(r.copies * r.n_tokens for r in found) / sum(r.n_tokens for r in found) - mixing.KEEP) < 0.05
+    drawn = mixing.sample(docs, repeats=True)
+    assert drawn.columns == docs.columns
+    assert sorted(r.doc_id for r in drawn.collect()) == sorted(r.doc_id for r in found for _ in range(r.copies))
+
+
 def test_weights_and_targets_move_back_until_no_cell_is_kept_more_than_whole(spark):
     names = [f"own_{m} double, target_{m} double" for m in mixing.MARGINS]
     rows = [(0.5, 0.2, *[0.5, 0.2] * 3), (0.4, 0.4, *[0.4, 0.4] * 3), (0.1, 0.4, *[0.1, 0.4] * 3)]
