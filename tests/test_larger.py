@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from eavista import values
 from eavista.catalog import fixture, joins as join_queries
 from eavista.catalog.fixture import Fixture, cid
-from eavista.operators import joins, latest
+from eavista.operators import joins, latest, naming
+from eavista.operators.lookups import Dictionary
+from eavista.operators.obs import medication_lines
 from eavista.session import scratch
 from tests.compare import SF_DIR
 
@@ -78,3 +80,45 @@ def test_parts_are_found_in_generated_code(spark):
         low = lambda r: (r[0] is not None, r[0] or 0, r[1])
         for r in placed.collect():
             assert r._part == sum(low(b) < low((r.m, r.n)) for b in bounds)
+
+
+def many_medications(spark):
+    """Groups with and without children, without a drug, with an unknown answer, a null group, and a group id that repeats."""
+    parts = list(values.PARTS_OF_DAY.values())
+    codes = list(dict.fromkeys([values.MEDICATION_GROUP, *[m[1] for m in values.MEDICATION_MEASURES], *parts]))
+    ids = {code: 100 + n for n, code in enumerate(codes)}
+    mapping = [(ids[c], *Dictionary(None, None).split(c)) for c in codes]
+    names = [(n, f"n{n}", "es", 1, n * 2, "FULLY_SPECIFIED", 0) for n in range(300, 320)]
+    names += [(n, f"s{n}", "es", 0, n * 2 + 1, "SHORT", 0) for n in range(300, 320, 2)]
+    obs = [(n, None, n, ids[values.MEDICATION_GROUP], None, None, None) for n in (*range(1, 30), 7)]
+    for g in (*range(1, 25), None, 99):
+        at = 1000 + (g or 50) * 20
+        obs += [(at, g, 1, ids[values.MEDICATION], None, None, None if (g or 0) % 5 == 0 else (g or 0) % 9),
+                (at + 1, g, 1, ids["TIME UNITS"], None, 300 + (g or 0) % 2, None),
+                (at + 2, g, 1, ids["Dosing units coded"], None, 302 if (g or 0) % 3 else 900, None),
+                (at + 3, g, 1, ids["9075"], float(at), None, None)]
+    obs = spark.createDataFrame(obs, "obs_id bigint, obs_group_id bigint, encounter_id bigint, concept_id int, "
+                                     "value_numeric double, value_coded int, value_drug bigint")
+    for column in ("value_text", "comments"):
+        obs = obs.withColumn(column, F.lit(None).cast("string"))
+    mapping = spark.createDataFrame(mapping, "concept_id int, source string, code string")
+    names = spark.createDataFrame(names, "concept_id int, name string, locale string, locale_preferred int, "
+                                         "concept_name_id int, concept_name_type string, voided int")
+    drugs = spark.range(8).select(F.col("id").alias("drug_id"), F.concat(F.lit("d"), "id").alias("name"))
+    return obs, Dictionary(mapping, names), drugs
+
+
+def test_medication_lines_meet_their_group_before_their_names(spark, no_broadcast, monkeypatch):
+    """Rows of a large dictionary are moved by their group and by their drug only, and get the names as before."""
+    obs, dictionary, drugs = many_medications(spark)
+    wanted = sorted(map(tuple, medication_lines(obs, dictionary, drugs).collect()), key=str)
+    monkeypatch.setattr(naming, "INDEXED", 4)
+    found = medication_lines(obs, Dictionary(dictionary.mapping, dictionary.names, dictionary.local_source), drugs)
+    plan = _plan(found)
+    assert plan.count("BroadcastHashJoin") >= 3
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(coalesce(" in line]
+    assert len(moved) == 1 and "value_drug" not in moved[0]
+    assert sorted(map(tuple, found.collect()), key=str) == wanted
+    monkeypatch.setattr(naming, "INDEXED", 1)
+    many = medication_lines(obs, Dictionary(dictionary.mapping, dictionary.names, dictionary.local_source), drugs)
+    assert sorted(map(tuple, many.collect()), key=str) == wanted
