@@ -122,3 +122,16 @@ def test_medication_lines_meet_their_group_before_their_names(spark, no_broadcas
     monkeypatch.setattr(naming, "INDEXED", 1)
     many = medication_lines(obs, Dictionary(dictionary.mapping, dictionary.names, dictionary.local_source), drugs)
     assert sorted(map(tuple, many.collect()), key=str) == wanted
+
+
+def test_rows_of_a_large_dictionary_stay_where_they_are(spark, no_broadcast, monkeypatch):
+    """Few names in use are sent to the rows; no copies of the whole dictionary, and no rows, are shuffled."""
+    answers = [None if n % 7 == 0 else 300 + n % 5 for n in range(100)]
+    rows = spark.createDataFrame(list(enumerate(answers)), "obs_id bigint, value_coded int")
+    names = spark.createDataFrame([(n, f"n{n}") for n in range(301, 330)], "concept_id int, name string")
+    wanted = [(n, a, f"n{a}" if a and a > 300 else None) for n, a in enumerate(answers)]
+    for indexed, moved in ((5, False), (4, True)):
+        monkeypatch.setattr(naming, "INDEXED", indexed)
+        found = naming.with_name(rows, "value_coded", names, "concept_id", "name", "shown", "obs_id")
+        assert ("_salt" in _plan(found)) == moved and ("SortMergeJoin" in _plan(found)) == moved
+        assert sorted(map(tuple, found.collect())) == wanted
